@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, minhash, mixing, packing, secrets, vectors
+from . import exact_dedup, langid, minhash, mixing, packing, secrets, vectors
 
 
 def tokenizer_path() -> str:
@@ -31,6 +31,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -51,6 +55,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_secrets": op2_secrets,
+    "op3_langid": op3_langid,
     "op6_minhash": op6_minhash,
     "op8_vectors": op8_vectors,
     "op9_exact_dedup": op9_exact_dedup,
