@@ -19,6 +19,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import LOWER, Blocks, WordHasher, mix64
 
@@ -219,7 +220,8 @@ def label(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     ``lang_pred`` times its probability under a softmax of the languages' total scores.  Null texts, and
     those without a letter, are ``und`` with score 0 and no spans; ties go to the language that sorts first.
     """
-    schema = "doc_id " + docs.schema[id_col].dataType.simpleString() + ", lang_pred string, score double, spans array<struct<start:int,end:int,lang:string>>"
+    span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType())])
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
     shared = docs.sparkSession.sparkContext.broadcast(model)  # tables of a fixed size per language
 
     def run(batches: Iterator):
@@ -276,3 +278,11 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     """Train on the rows of ``docs`` that are not held out, label all of them: :func:`label` with ``held_out``."""
     model = train(docs.where(~held_out(id_col)), text_col=text_col, lang_col=lang_col, sample=sample)
     return label(docs, model, id_col=id_col, text_col=text_col, penalty=penalty).withColumn("held_out", held_out("doc_id"))
+
+
+def drop_unidentified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 20_000) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that have a language: all but those labelled ``und``."""
+    model = train(docs.where(~held_out(id_col)), text_col=text_col, lang_col=lang_col, sample=sample)
+    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
+    found = label(whole, model, id_col="row").where("lang_pred <> 'und'")
+    return found.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])

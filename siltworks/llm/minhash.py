@@ -189,3 +189,10 @@ def near_duplicates(
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
         "kept", F.col("doc_id").eqNullSafe(F.col("component_id"))
     )
+
+
+def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The rows of ``docs``, with their own columns, that :func:`near_duplicates` keeps: one document of each group."""
+    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    kept = materialise(found.where("kept").select(F.col("doc_id").alias("_sw_id")).distinct())
+    return docs.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_sw_id")), "left_semi")

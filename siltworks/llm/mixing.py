@@ -132,3 +132,19 @@ def mix(
 def training_order(mixed: DataFrame) -> DataFrame:
     """The mix as it is read: one row per document and epoch, range-sorted by ``position``."""
     return mixed.select("doc_id", "source", "size", F.posexplode("positions").alias("epoch", "position")).orderBy("position", "doc_id")
+
+
+def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
+    """The rows of ``docs`` as the mix reads them: each once per epoch in which it is taken, range-sorted by position.
+
+    Rows that the mix does not take are left out; the document at which a source's quota ends is kept whole.
+    """
+    key = F.concat_ws("/", F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.xxhash64(text_col, source_col).cast("string"))
+    tagged = docs.withColumn("_sw_key", key)
+    mixed = materialise(mix(tagged, id_col="_sw_key", text_col=text_col, source_col=source_col, **options).select(F.col("doc_id").alias("_sw_key"), "positions"))
+    places = mixed.groupBy("_sw_key").agg(F.flatten(F.collect_list("positions")).alias("_sw_positions"), F.count("*").alias("_sw_n"))
+    places = materialise(places)
+    if not places.where("_sw_n > 1").isEmpty():  # rows repeated in full share their places
+        tagged = tagged.dropDuplicates(["_sw_key"])
+    taken = tagged.join(places.where(F.size("_sw_positions") > 0), "_sw_key").withColumn("_sw_at", F.explode("_sw_positions"))
+    return taken.orderBy("_sw_at", "_sw_key").select(*docs.columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, langid, minhash, mixing, packing, secrets, vectors
+from . import exact_dedup, langid, licenses, lm_score, minhash, mixing, packing, secrets, toxicity, vectors
 
 
 def tokenizer_path() -> str:
@@ -35,10 +35,23 @@ def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents")).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lm_score.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("passage")
+
+
 def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("evidence")
+
+
 def op8_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(table(spark, sf_dir, "embeddings"), least=0.93)
 
@@ -56,7 +69,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix": op1_mix,
     "op2_secrets": op2_secrets,
     "op3_langid": op3_langid,
+    "op4_lm_score": op4_lm_score,
+    "op5_licenses": op5_licenses,
     "op6_minhash": op6_minhash,
+    "op7_toxicity": op7_toxicity,
     "op8_vectors": op8_vectors,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack": op10_pack,
@@ -94,7 +110,20 @@ SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(b, 0) AS n_access, coalesc
   sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g ON d.doc_id = g.doc_id"""
 
 
+def _licenses_sql() -> str:
+    """Every text against every template: a brute-force search by all shingles."""
+    rows = ", ".join("('{}', '{}')".format(name, text.replace("'", "''")) for name, text in licenses.TEMPLATES.items())
+    words = "regexp_extract_all(lower(coalesce({}, '')), '[a-z0-9]+')"
+    cut = "unnest(list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')))) AS g"
+    return f"""WITH t AS (SELECT license, {cut} FROM (SELECT license, {words.format('text')} AS w FROM (VALUES {rows}) v(license, text))),
+n AS (SELECT license, count(*) AS n FROM t GROUP BY license),
+d AS (SELECT doc_id, {cut} FROM (SELECT doc_id, {words.format('text')} AS w FROM documents) WHERE len(w) >= 5)
+SELECT doc_id, t.license, count(*) / max(n.n) AS containment FROM d JOIN t ON d.g = t.g JOIN n ON n.license = t.license
+GROUP BY doc_id, t.license HAVING count(*) / max(n.n) >= 0.8"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_licenses": _licenses_sql(),
     "op1_mix": r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     md5(coalesce(CAST(doc_id AS VARCHAR), '')) AS o FROM documents),
