@@ -49,8 +49,15 @@ def _matrix(column) -> tuple[np.ndarray, np.ndarray]:
         yield rows, np.asarray(values).reshape(len(rows), dim) + 0.0
 
 
-def classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) -> DataFrame:
-    """vec_id, label, vec (normalised doubles, null if the vector links with nothing), d1 and d2 (identify the vector)."""
+def _unit(values: np.ndarray) -> np.ndarray:
+    """Rows at length 1, in doubles; scaled first, so that squares neither overflow nor vanish."""
+    with np.errstate(all="ignore"):
+        scaled = values / np.abs(values).max(1, keepdims=True)
+        return scaled / np.sqrt((scaled * scaled).sum(1, keepdims=True))
+
+
+def classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str, single: bool) -> DataFrame:
+    """vec_id, label, vec (its bytes, null if the vector links with nothing), d1 and d2 (identify the vector)."""
 
     def run(batches: Iterator):
         import hashlib
@@ -62,48 +69,49 @@ def classes(vectors: DataFrame, id_col: str, vector_col: str, label_col: str) ->
             d1, d2 = [None] * batch.num_rows, [None] * batch.num_rows
             label = batch.column(1).is_valid().to_pylist()
             for rows, values in _matrix(batch.column(2)):
-                with np.errstate(all="ignore"):
-                    largest = np.abs(values).max(1)
-                    scaled = values / largest[:, None]  # so that squares neither overflow nor vanish
-                    unit = scaled / np.sqrt((scaled * scaled).sum(1))[:, None]
-                good = np.isfinite(values).all(1) & (largest > 0) & np.isfinite(unit).all(1)
-                for r, ok, u, v in zip(rows, good, unit, values, strict=True):
+                good = np.isfinite(values).all(1) & np.isfinite(_unit(values)).all(1)
+                raw = values.astype(np.float32) if single else values
+                for r, ok, v in zip(rows, good, raw, strict=True):
                     if ok and label[r]:
-                        vec[r] = u.tobytes()
-                        h = hashlib.blake2b(v.tobytes(), digest_size=16).digest()
+                        vec[r] = v.tobytes()
+                        h = hashlib.blake2b(vec[r], digest_size=16).digest()
                         d1[r], d2[r] = int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(vec, pa.binary()), pa.array(d1, pa.int64()), pa.array(d2, pa.int64())], names=["vec_id", "label", "vec", "d1", "d2"]
             )
 
-    kind = "array<double>" if "double" in vectors.schema[vector_col].dataType.simpleString() else "array<float>"
+    kind = "array<float>" if single else "array<double>"
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(label_col).cast("string").alias("label"), F.col(vector_col).cast(kind).alias("v"))
     return rows.mapInArrow(run, "vec_id bigint, label string, vec binary, d1 bigint, d2 bigint")
 
 
-def _keyed(tables: int, bits: int, width: float, seed: int):
-    """Representatives -> one row per table: key of the bucket, table, the row's cells in all tables."""
+def _rows(raw: list[bytes], single: bool):
+    """For each length: the numbers of its rows, and these at length 1."""
+    kind = np.float32 if single else np.float64
+    size = np.array([len(x) for x in raw], np.int64)
+    for n in np.unique(size):
+        rows = np.flatnonzero(size == n)
+        values = np.frombuffer(b"".join(raw[r] for r in rows), kind).reshape(len(rows), -1)
+        yield rows, _unit(values.astype(np.float64))
+
+
+def _keyed(tables: int, bits: int, width: float, seed: int, single: bool):
+    """Representatives -> with their cells in all tables, and the keys of their buckets."""
 
     def run(batches: Iterator):
         import pyarrow as pa
 
         for batch in batches:
-            raw = batch.column(3).to_pylist()
-            size = np.array([len(x) for x in raw], np.int64)
-            labels = batch.column(2).to_pylist()
-            salt = np.array([_text_hash(x) for x in labels], np.uint64)
-            for n in np.unique(size):
-                rows = np.flatnonzero(size == n)
-                unit = np.frombuffer(b"".join(raw[r] for r in rows), np.float64).reshape(len(rows), n // 8)
-                cells = _cells(unit, tables, bits, width, seed)
-                packed = [c.tobytes() for c in cells]
-                for t in range(tables):
-                    key = mix64(mix64(salt[rows] + np.uint64(n)) ^ cells[:, t].view(np.uint32).astype(np.uint64) + np.uint64((t + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
-                    take = batch.take(pa.array(rows))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(key.view(np.int64)), pa.array(np.full(len(rows), t, np.int32)), *take.columns[:4], pa.array(packed, pa.binary())],
-                        names=["key", "t", "rep", "copies", "label", "vec", "cells"],
-                    )
+            salt = np.array([_text_hash(x) for x in batch.column(3).to_pylist()], np.uint64)
+            cells = np.zeros((batch.num_rows, tables), np.int32)
+            for rows, unit in _rows(batch.column(4).to_pylist(), single):
+                cells[rows] = _cells(unit, tables, bits, width, seed)
+                salt[rows] += np.uint64(unit.shape[1])
+            step = np.array([(t + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1 for t in range(tables)], np.uint64)
+            key = mix64((mix64(salt)[:, None] ^ cells.view(np.uint32).astype(np.uint64)) + step).view(np.int64)
+            keys = pa.ListArray.from_arrays(pa.array(np.arange(0, key.size + 1, tables, dtype=np.int32)), pa.array(key.ravel()))
+            packed = pa.array([c.tobytes() for c in cells], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, packed, keys], names=["rep", "d1", "copies", "label", "vec", "cells", "keys"])
 
     return run
 
@@ -114,7 +122,7 @@ def _text_hash(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "little")
 
 
-def _compare(least: float, tables: int):
+def _compare(least: float, tables: int, single: bool):
     """Rows sorted by (key, i, j) -> (node, root, links) of each group of rows with one (key, i, j)."""
 
     def settle(group):
@@ -167,11 +175,10 @@ def _compare(least: float, tables: int):
                 continue
             key = np.stack([np.asarray(batch.column(i)).astype(np.int64) for i in range(3)], 1)
             raw = batch.column(7).to_pylist()
-            wide = max(map(len, raw)) // 8
-            vec = np.zeros((len(raw), wide))
-            size = np.array([len(x) for x in raw])
-            for n in np.unique(size):
-                vec[size == n, : n // 8] = np.frombuffer(b"".join(x for x in raw if len(x) == n), np.float64).reshape(-1, n // 8)
+            units = list(_rows(raw, single))
+            vec = np.zeros((len(raw), max(unit.shape[1] for _, unit in units)))
+            for rows, unit in units:
+                vec[rows, : unit.shape[1]] = unit
             cells = np.frombuffer(b"".join(batch.column(8).to_pylist()), np.int32).reshape(len(raw), tables)
             now = [key, *(np.asarray(batch.column(i)) for i in (3, 4, 5, 6)), vec, cells]
             if held is not None:
@@ -198,38 +205,41 @@ def near_vectors(
     vector_col: str = "embedding",
     label_col: str = "label",
     least: float = 0.93,
-    tables: int = 32,
-    bits: int = 10,
+    tables: int = 26,
+    bits: int = 9,
     width: float = 2.0,
     seed: int = 17,
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
     Vectors with equal labels, not null, are linked by a cosine of at least ``least``, in doubles.  The
-    default tables miss a pair at 0.93 eight times in 10 000 and closer pairs less often; a pair that is
+    default tables miss a pair at 0.93 once in a thousand and closer pairs less often; a pair that is
     found is linked by its exact cosine.  Null or zero vectors, and those with null or non-finite
     components, link with nothing; vectors of different lengths are not compared.  Repeated rows are vectors
-    of their own that are linked; a null id gets a null component unless its class has another id.
+    of their own that are linked; rows that share an id share the links of all its vectors; a null id gets
+    a null component unless its class has another id.
     """
-    base = materialise(classes(vectors, id_col, vector_col, label_col))
+    single = "double" not in vectors.schema[vector_col].dataType.simpleString()
+    base = materialise(classes(vectors, id_col, vector_col, label_col, single))
     rows = base.where("vec is not null")
-    reps = materialise(rows.groupBy("label", "d1", "d2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec")))
-    keyed = reps.where("rep is not null").select("rep", "copies", "label", "vec").mapInArrow(
-        _keyed(tables, bits, width, seed), "key bigint, t int, rep bigint, copies bigint, label string, vec binary, cells binary"
-    )
-    keyed = materialise(keyed.drop("label"))
+    same = rows.groupBy("label", "d1", "d2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
+    reps = same.where("rep is not null").select("rep", "d1", "copies", "label", "vec")
+    schema = "rep bigint, d1 bigint, copies bigint, label string, vec binary, cells binary, keys array<bigint>"
+    reps = materialise(reps.mapInArrow(_keyed(tables, bits, width, seed, single), schema))
+    keyed = reps.select("rep", "d1", F.posexplode("keys").alias("t", "key"))
     counts = keyed.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1")
-    blocks = F.ceil(F.col("_n") / BLOCK).cast("int")
-    met = keyed.join(counts, "key").withColumn("_of", blocks)
+    met = keyed.join(counts, "key").withColumn("_of", F.ceil(F.col("_n") / BLOCK).cast("int"))
     met = met.withColumn("_own", F.pmod(F.xxhash64("rep"), F.col("_of")).cast("int"))
     met = met.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
-    met = met.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "t", "rep", "copies", "vec", "cells")
+    met = met.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "t", "rep", "d1")
+    # only now, and only to buckets with several members, the vectors themselves
+    met = met.join(reps.select("rep", "d1", "copies", "vec", "cells"), ["rep", "d1"]).select("key", "i", "j", "_own", "t", "rep", "copies", "vec", "cells")
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = met.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compare(least, tables), "node bigint, root bigint, links bigint")
+    found = met.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compare(least, tables, single), "node bigint, root bigint, links bigint")
     found = materialise(found)
     links = found.groupBy(F.col("node").alias("rep")).agg(F.sum("links").alias("_links"))
     tree = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
-    of = reps.drop("vec").join(links, "rep", "left").join(tree.withColumnRenamed("node", "rep"), "rep", "left")
+    of = same.drop("vec").join(links, "rep", "left").join(tree.withColumnRenamed("node", "rep"), "rep", "left")
     of = of.select("label", "d1", "d2", (F.coalesce("_links", F.lit(0)) + F.col("copies") - 1).alias("_n"), F.coalesce("component", "rep").alias("_c"))
     whole = base.drop("vec").join(of, ["label", "d1", "d2"], "left")
     return whole.select("vec_id", F.coalesce("_n", F.lit(0)).cast("long").alias("n_links"), F.coalesce("_c", "vec_id").alias("component_id")).withColumn(
