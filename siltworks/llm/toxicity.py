@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, Blocks, WordHasher, materialise, mix64, shingles, word_hashes
+from .common import LOWER, Blocks, WordHasher, materialise, mix64, shingles, small_batches, word_hashes
 
 PREFIXES = (4, 5, 6)
 BLOCK = 64
@@ -156,10 +156,11 @@ def _known(vocabulary: np.ndarray) -> np.ndarray:
     return known
 
 
-def train(examples: DataFrame, *, terms: int = 2048, least: float = 15.0) -> Index:
+def train(examples: DataFrame, *, terms: int = 2048, least: float = 15.0, lift: float = 2.0) -> Index:
     """The index of ``examples`` (doc_id bigint, text, toxic int): a bounded number of rows, see :func:`sampled`.
 
-    Terms need a likelihood ratio of at least ``least``; of more than ``terms`` the most telling are kept.
+    Terms need a likelihood ratio of at least ``least`` and to be ``lift`` times as toxic as all examples; of
+    more than ``terms`` the most telling are kept.
     """
 
     def keyed(batches: Iterator):
@@ -212,7 +213,7 @@ def train(examples: DataFrame, *, terms: int = 2048, least: float = 15.0) -> Ind
         + part(F.lit(toxic_n) - a, (F.lit(all_n) - n) * share)
         + part(F.lit(all_n - toxic_n) - (n - a), (F.lit(all_n) - n) * (1 - share))
     )
-    telling = counts.withColumn("ratio", ratio).where(F.col("ratio") >= least)
+    telling = counts.withColumn("ratio", ratio).where((F.col("ratio") >= least) & (a >= lift * share * n))
     chosen = telling.orderBy(F.desc("ratio"), "term").limit(terms).collect()
     chosen = sorted((np.int64(r["term"]).view(np.uint64), r["n"]) for r in chosen)
     vocabulary = np.array([t for t, _ in chosen], np.uint64)
@@ -293,6 +294,7 @@ def sampled(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 20_000, terms: int = 2048, k: int = 25) -> DataFrame:
     """Learn from the labelled rows that are not held out, score all: doc_id, held_out, score, predicted, evidence."""
+    small_batches(docs.sparkSession)
     examples = sampled(docs, labels.where(~held_out(id_col)), id_col=id_col, text_col=text_col, label_col=label_col, sample=sample)
     index = train(examples, terms=terms)
     found = score(docs, index, id_col=id_col, text_col=text_col, k=k)
