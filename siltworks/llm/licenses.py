@@ -119,12 +119,13 @@ def scan(docs: DataFrame, *, texts: Mapping[str, str] = TEMPLATES, id_col: str =
     at = words.select("doc_id", "w", "n", F.explode(F.sequence(F.lit(0), F.col("n") - WORDS, F.lit(STRIDE))).alias("i"))
     w, i, n = F.col("w"), F.col("i"), F.col("n")
     hashes = [F.when(i + k + WORDS <= n, _hash(w, i + k)) for k in range(WINDOW)]
-    hashed = at.select("doc_id", "w", "n", "i", *[h.alias(f"h{k}") for k, h in enumerate(hashes)])
+    # the row number keeps the filter from being pushed below, where each hash would be computed for every test
+    hashed = at.select("doc_id", "w", "n", "i", F.monotonically_increasing_id().alias("row"), *[h.alias(f"h{k}") for k, h in enumerate(hashes)])
     hashes = [F.col(f"h{k}") for k in range(WINDOW)]
     found = _bands(hashes)
     hits = [found[k].isin(values[k]) for k in range(BANDS) if values[k]]
     hits += [h.isin(values[-1]) for h in hashes[:STRIDE] if values[-1]]
-    window = hashed.where(reduce(lambda a, b: a | b, hits, F.lit(False)))
+    window = hashed.where(reduce(lambda a, b: a | b, hits, F.lit(False)) & (F.col("row") >= 0))
     keys = [F.struct(F.lit(k).alias("band"), v.alias("value")) for k, v in enumerate(found)]
     keys += [F.struct(F.lit(-1).alias("band"), h.alias("value")) for h in hashes[:STRIDE]]
     begin = F.greatest(i - reach, F.lit(0))
