@@ -38,6 +38,36 @@ def materialise(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def semi_join(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` is among the distinct, written ``ids`` (one column, that name).
+
+    Most of the other rows never reach a shuffle: a bitmap of hashed ids, of at most 2**27 bits (16 MB)
+    whatever the input, is broadcast first.  A fuller bitmap lets more rows through, never fewer.
+    """
+    n = ids.count()
+    bits = 1 << min(27, max(15, (16 * n).bit_length()))
+    size = 1 << 15  # bits of one row of the bitmap
+
+    def bit(c):
+        return F.pmod(F.xxhash64(c), F.lit(bits))
+
+    maps = ids.select(bit(F.col(key)).alias("_bit"))
+    maps = maps.groupBy((F.col("_bit") / size).cast("int").alias("_part")).agg(F.bitmap_construct_agg(F.col("_bit") % size).alias("_map"))
+    tagged = rows.withColumn("_bit", bit(F.col(key))).withColumn("_part", (F.col("_bit") / size).cast("int"))
+    place = F.col("_bit") % size
+    byte = F.conv(F.hex(F.substring("_map", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("1").cast("int") == F.when(byte.isNull(), 0).otherwise(F.getbit(byte, (place % 8).cast("int")).cast("int"))
+    maybe = tagged.join(F.broadcast(maps), "_part").where(hit).select(*rows.columns)
+    return maybe.join(ids, key, "left_semi")
+
+
+def small_batches(spark: SparkSession, size: str = "8m") -> None:
+    """Bound the Arrow batches that Python workers get by their bytes, as texts may be long."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key, "64m") in ("64m", "67108864b", str(1 << 26)):  # unless the session has a bound of its own
+        spark.conf.set(key, size)
+
+
 def normalised(text):
     """``text`` with every run of ASCII white space as one space; null is the empty text."""
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")
@@ -121,7 +151,7 @@ class Blocks:
     of which the last is a separating space.  One text longer than a block is a block of its own.
     """
 
-    def __init__(self, size: int = 1 << 20) -> None:
+    def __init__(self, size: int = 1 << 18) -> None:
         self.size = size
 
     def __call__(self, column):

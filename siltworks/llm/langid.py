@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, Blocks, WordHasher, mix64
+from .common import Blocks, LOWER, WordHasher, mix64, small_batches
 
 #: Slots of each of the three tables of n-grams.
 SLOTS = 1 << 16
@@ -111,6 +111,7 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
     ``sample`` bounds the rows that are read: of more, those whose texts hash below a threshold that keeps
     about as many.  What reaches the driver are counts, at most 3 * 65536 per language.
     """
+    small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     n = rows.count()
     if n > sample:

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Blocks, WordHasher, mix64, word_hashes
+from .common import Blocks, WordHasher, mix64, small_batches, word_hashes
 
 #: Slots of words, and cells of word pairs.
 WORDS = 1 << 18
@@ -146,6 +146,7 @@ def cross_entropy_difference(docs: DataFrame, targets: DataFrame, *, id_col: str
     ``sample`` bounds the target documents that are learned from: of more ids, those that hash below a
     threshold that keeps about as many.  The background is every document.  Null ids are no targets.
     """
+    small_batches(docs.sparkSession)
     ids = targets.select(F.col(id_col).alias("_target_id")).where("_target_id is not null")
     n = ids.count()
     if n > sample:

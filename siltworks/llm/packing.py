@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, small_batches
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -266,6 +266,7 @@ def pack(table: DataFrame, capacity: int = 1024) -> DataFrame:
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 1024, end_id: int = 2, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Tokenise, cut and pack: the rows of :func:`pieces` with ``sequence_id`` and ``offset``."""
+    small_batches(docs.sparkSession)
     table = materialise(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id, with_ids=with_ids))
     return pack(table, capacity)
 

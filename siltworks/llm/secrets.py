@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .automaton import Automaton, compile_automaton, longest, parse, reverse
+from .common import small_batches
 
 
 @dataclass(frozen=True)
@@ -116,6 +117,7 @@ def scan(docs: DataFrame, rules: Sequence[Rule] = RULES, id_col: str = "doc_id",
     Spans of one kind don't overlap; they stand by start, then in the order of the rules.  A null or empty
     text has none.  Repeated rows each give a row; texts of any length are scanned whole.
     """
+    small_batches(docs.sparkSession)
     rules = tuple(rules)
     schema = "doc_id " + docs.schema[id_col].dataType.simpleString() + ", found array<struct<kind:string,start:bigint,end:bigint>>"
 
