@@ -6,8 +6,10 @@ step j it offers ``r + j`` to one component.  Ranks of one element are thus spre
 
 Documents with the same set form a class, of which only the smallest id goes on.  Classes that agree in a
 band meet in its bucket.  In every bucket all classes are compared with the bucket's smallest one, on full
-sets; classes of a bucket that are then still in different components are compared with one another, so
-no link between classes that meet is lost, while large groups of copies cost one comparison a member.
+sets, so large groups of copies cost one comparison a member.  Classes of a bucket that are then still in
+different components are compared with one another, in blocks, by bitmaps of their sets: each bit in which
+two bitmaps differ proves an element that only one set has, so a pair with too many such bits is no link.
+The few pairs that are left are compared on full sets.  No link between classes that meet is lost.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Blocks, WordHasher, materialise, mix64, shingles, word_hashes
+from .common import Blocks, WordHasher, materialise, mix64, semi_join, shingles, small_batches, word_hashes
 from .components import components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -58,9 +60,81 @@ def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     return out
 
 
+#: Rows of a block in which all pairs are compared by bitmaps; a bucket with more is split.
+BLOCK = 1024
+
+
+def bitmap(s: np.ndarray) -> bytes:
+    """A set's elements modulo a power of two between 6 and 12 times their number, as bits."""
+    bits = np.zeros(max(64, 1 << int(6 * len(s) - 1).bit_length()), bool)
+    bits[(s & np.uint64(len(bits) - 1)).astype(np.int64)] = True
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """In how many bits the rows of ``y`` (uint64 words) differ from the row ``x``."""
+    return np.bitwise_count(y ^ x).sum(1, dtype=np.int64)
+
+
+def _maybe(percent: int):
+    """Rows sorted by (key, i, j) -> pairs of a group, in different components, that the bitmaps can't rule out."""
+
+    def pairs(t, ids, n, component, own, crossing, bands, maps):
+        wide = np.array([len(m) for m in maps])
+        for w in np.unique(wide):
+            here = np.flatnonzero(wide == w)
+            near = np.flatnonzero((wide == w) | (wide == 2 * w))  # sets of twice the size can't be similar
+            words = np.array([np.frombuffer(maps[k], np.uint64) if wide[k] == w else np.bitwise_or(*np.frombuffer(maps[k], np.uint64).reshape(2, -1)) for k in near])
+            place = np.searchsorted(near, here)
+            for k, at in zip(here, place, strict=True):
+                rest = np.flatnonzero((near > k) | (wide[near] == 2 * w))
+                other = near[rest]
+                differ = (component[other] != component[k]) & (100 * np.minimum(n[other], n[k]) >= percent * np.maximum(n[other], n[k]))
+                if crossing:
+                    differ &= own[other] != own[k]
+                if t:  # a pair that agrees in an earlier band meets there
+                    differ &= ~(bands[other, :t] == bands[k, :t]).any(1)
+                rest = rest[differ]
+                if len(rest):
+                    other = near[rest]
+                    close = (100 + percent) * _far(words[at], words[rest]) <= (100 - percent) * (n[other] + n[k])
+                    for o in other[close]:
+                        yield min(ids[k], ids[o]), max(ids[k], ids[o])
+
+    def run(batches: Iterator):
+        import pyarrow as pa
+
+        def out(rows):
+            key = np.array([r[:3] for r in rows], np.int64)
+            edge = np.flatnonzero(np.concatenate(([True], (key[1:] != key[:-1]).any(1), [True])))
+            found = set()
+            for a, b in zip(edge[:-1], edge[1:], strict=True):
+                if b - a > 1:
+                    _, i, j, own, t, ids, n, component, keys, maps = zip(*rows[a:b], strict=True)
+                    bands = np.array([np.frombuffer(k, np.int32) for k in keys])
+                    found.update(pairs(t[0], ids, np.array(n), np.array(component), np.array(own), i[0] != j[0], bands, maps))
+            if found:
+                x, y = zip(*sorted(found), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], names=["a", "b"])
+
+        held: list = []
+        for batch in batches:
+            held += zip(*(batch.column(k).to_pylist() for k in range(10)), strict=True)
+            if held:
+                cut = len(held) - 1
+                while cut and held[cut - 1][:3] == held[-1][:3]:
+                    cut -= 1
+                yield from out(held[:cut]) if cut else ()
+                held = held[cut:]
+        if held:
+            yield from out(held)
+
+    return run
+
+
 def features(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n (size of the set), f1 and f2 (128 bits that identify the set), keys (one per band; none if empty)."""
-    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>"
+    """doc_id, n (size of the set), f1 and f2 (128 bits that identify the set), keys (one per band; none if empty), short (32 bits of each key), bits."""
+    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>, short binary, bits binary"
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -72,17 +146,19 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int
                 size = last - first
                 s, row = shingles(*word_hashes(hasher, data, at), size, words)
                 n = np.bincount(row, minlength=size)
+                edge = np.concatenate(([0], np.cumsum(n)))
                 f = []
                 for salt in (1, 2):
                     h = mix64(s * np.uint64(2 * salt + 1) + np.uint64(salt))
                     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h, dtype=np.uint64)))
-                    edge = np.concatenate(([0], np.cumsum(n)))
                     f.append(mix64(total[edge[1:]] - total[edge[:-1]] + n.astype(np.uint64)).view(np.int64))
                 keys = band_keys(super_minhash(s, row, size, bands * rows), bands).view(np.int64)
                 offsets = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
+                short = pa.array([k.tobytes() if m else None for k, m in zip((keys >> 32).astype(np.int32), n, strict=True)], pa.binary())
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[n > 0].ravel()))
                 own = ids.slice(first, size).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([own, pa.array(n), pa.array(f[0]), pa.array(f[1]), keys], names=["doc_id", "n", "f1", "f2", "keys"])
+                bits = pa.array([bitmap(s[a:b]) if b > a else None for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
+                yield pa.RecordBatch.from_arrays([own, pa.array(n), pa.array(f[0]), pa.array(f[1]), keys, short, bits], names=["doc_id", "n", "f1", "f2", "keys", "short", "bits"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -122,8 +198,8 @@ def _linked(words: int, percent: int):
 def verified(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str, words: int, percent: int) -> DataFrame:
     """The ``pairs`` (a, b) that are links, by their full sets; texts are fetched for these ids alone."""
     texts = docs.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).alias("_text"))
-    ids = pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct()
-    texts = materialise(texts.join(ids, "_id", "left_semi"))
+    ids = materialise(pairs.select(F.col("a").alias("_id")).unionByName(pairs.select(F.col("b").alias("_id"))).distinct())
+    texts = materialise(semi_join(texts, "_id", ids))
     right = pairs.join(texts.withColumnsRenamed({"_id": "b", "_text": "tb"}), "b")
     full = right.join(texts.withColumnsRenamed({"_id": "a", "_text": "ta"}), "a").select("a", "b", "ta", "tb")
     return full.mapInArrow(_linked(words, percent), "a bigint, b bigint")
@@ -148,11 +224,12 @@ def near_duplicates(
     with the links of all their texts; a null id gets the component of its set's smallest id, and is kept
     if there is none.  An empty table gives no rows.
     """
+    small_batches(docs.sparkSession)
     f = materialise(features(docs, id_col, text_col, words, bands, rows))
     sets = f.where("n > 0 and doc_id is not null")
     classes = materialise(sets.groupBy("f1", "f2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies")))
     reps = sets.select("doc_id", "n", "f1", "f2", F.col("keys")).join(classes.select("f1", "f2", F.col("rep").alias("doc_id")), ["f1", "f2", "doc_id"], "left_semi")
-    member = reps.select(F.explode("keys").alias("key"), F.col("doc_id").alias("id"), "n")
+    member = reps.select(F.posexplode("keys").alias("t", "key"), F.col("doc_id").alias("id"), "n")
     shared = member.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("_top")).where("hub <> _top")
     member = materialise(member.join(shared.select("key", "hub"), "key"))
 
@@ -166,13 +243,19 @@ def near_duplicates(
 
     # classes of one bucket that the hubs have not brought together
     named = member.join(tree.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
-    apart = named.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_n")).where("_lo <> _hi and _n > 2")
-    named = materialise(named.join(apart.select("key"), "key").select("key", "id", "n", "component", "hub"))
-    one, two = named.where("id <> hub"), named.where("id <> hub")
-    cross = one.alias("x").join(two.alias("y"), F.col("x.key") == F.col("y.key"))
-    cross = cross.where((F.col("x.component") < F.col("y.component")) & close("x.n", "y.n"))
-    cross = cross.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    cross = materialise(cross.join(tried, ["a", "b"], "left_anti"))
+    named = materialise(named.where("id <> hub").select("key", "t", "id", "n", "component"))
+    apart = named.groupBy("key").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.count("*").alias("_n")).where("_lo <> _hi")
+    named = named.join(apart.select("key", F.ceil(F.col("_n") / BLOCK).cast("int").alias("_of")), "key")
+    named = named.withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_of")).cast("int"))
+    named = named.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_of") - 1)))
+    named = named.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "t", "id", "n", "component")
+    named = materialise(named)
+    ids = materialise(named.select(F.col("id").alias("doc_id")).distinct())
+    maps = semi_join(sets.select("doc_id", "n", "short", "bits"), "doc_id", ids).withColumnRenamed("doc_id", "id")
+    blocks = named.join(maps, ["id", "n"]).select("key", "i", "j", "_own", "t", "id", "n", "component", "short", "bits")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cross = blocks.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_maybe(percent), "a bigint, b bigint")
+    cross = materialise(cross.where("a <> b").distinct().join(tried, ["a", "b"], "left_anti"))
 
     # rows that share an id tie their sets together
     several = sets.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
@@ -183,7 +266,7 @@ def near_duplicates(
 
     rep = classes.join(tree.withColumnRenamed("node", "rep"), "rep", "left")
     rep = rep.select("f1", "f2", F.coalesce("component", "rep").alias("_found"))
-    whole = f.drop("keys").join(rep, ["f1", "f2"], "left")
+    whole = f.drop("keys", "short", "bits").join(rep, ["f1", "f2"], "left")
     component = F.when(F.col("n") > 0, F.col("_found")).otherwise(F.col("doc_id"))
     component = F.coalesce(component, F.col("doc_id"))
     return whole.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
