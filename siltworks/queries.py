@@ -1,16 +1,505 @@
-"""The registered queries over the tables of a folder, and their SQL."""
+"""The registered queries over the tables of a folder, and SQL with the same results.
+
+Most run on ``events`` as a change log of four partitions, or on a table as a batch of records.
+"""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .config import EngineConfig, TableConfig
+from .functions import partition
+from .functions.coerce import Options, coerce, project
+from .operators import commits, mutate, route
+from .operators import transforms as xf
+from .plans import schema as schemas
+from .sources.log import ENVELOPE, events_log, read
+from .sources.store import Store
+from .streaming.engine import Engine
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+LOG = """SELECT 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS "offset", ts, user_id,
+  CASE event_type WHEN 'error' THEN 'D' WHEN 'signup' THEN 'I' ELSE 'U' END AS op, event_id, event_type, value, props FROM events"""
+POSITION = ["topic", "partition", "offset"]
+
+
+def query(sql: str | None = None) -> Callable[[Query], Query]:
+    def register(f: Query) -> Query:
+        QUERIES[f.__name__] = f
+        if sql is not None:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def store(spark: SparkSession) -> Store:
+    """A new store in the warehouse's folder, which executors share; of this process only in local mode."""
+    local = spark.sparkContext.master.startswith("local[") or spark.sparkContext.master == "local"
+    root = "file://" + tempfile.mkdtemp(prefix="siltworks-store-") if local else spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    return Store(spark, f"{root}/store-{uuid.uuid4().hex}")
+
+
+def records(df: DataFrame, *, key: str, topic: str, columns: list | None = None, parts: int = 4) -> DataFrame:
+    """A table's rows as records: ``value`` is a struct of ``columns``, the position follows ``key``."""
+    at = [F.lit(topic).alias("topic"), (F.col(key) % parts).cast("int").alias("partition"), F.expr(f"{key} div {parts}").cast("long").alias("offset")]
+    when = F.col("ts") if "ts" in df.columns else F.lit("2024-01-01")
+    return df.select(*at, when.cast("timestamp").alias("timestamp"), F.struct(*(columns or df.columns)).alias("value"))
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet").groupBy("event_type").agg(F.count("*").alias("n"))
+    """Routes the change log to one table per event type through the engine, and counts what the tables hold."""
+    types = ("click", "view", "purchase", "signup", "error")
+    config = EngineConfig(tables=types, route_field="event_type", auto_create=True, per_table={t: TableConfig(route_regex=t) for t in types})
+    at = store(spark)
+    log = records(table(spark, sf_dir, "events"), key="event_id", topic="events", columns=["event_id", "event_type", "user_id", "value"])
+    Engine(spark, config, at).run_batch(log)
+    scans = [at.table(t).scan().select(F.lit(t).alias("table_name"), "event_id") for t in types if at.exists(t)]
+    out = scans[0]
+    for s in scans[1:]:
+        out = out.unionByName(s)
+    return out.groupBy("table_name").agg(F.count("*").alias("n"), F.max("event_id").alias("last_id"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
+# routing ----------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_type AS table_name, count(*) AS n, max(event_id) AS last_id FROM events WHERE event_type IN ('click','view','purchase','signup','error') GROUP BY 1")
+def ingest_routed(spark, sf_dir):
+    return flagship(spark, sf_dir)
+
+
+@query("SELECT t AS table_name, count(*) AS n FROM events, (VALUES ('a'), ('b')) v(t) GROUP BY 1")
+def route_static_all(spark, sf_dir):
+    routed = route.to_all(table(spark, sf_dir, "events").select("event_id"), ["a", "b"])
+    return routed.groupBy(F.col("_table").alias("table_name")).agg(F.count("*").alias("n"))
+
+
+@query(
+    """SELECT t AS table_name, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events, (VALUES ('seen', 'click|view'), ('money', 'purchase'), ('any', '.*')) v(t, r)
+WHERE regexp_full_match(event_type, r) GROUP BY 1"""
+)
+def route_static_regex(spark, sf_dir):
+    routed = route.by_regex(table(spark, sf_dir, "events"), F.col("event_type"), {"seen": "click|view", "money": "purchase", "any": ".*", "none": None})
+    return routed.groupBy(F.col("_table").alias("table_name")).agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+
+
+@query("SELECT lower('DB.ord_' || o_orderstatus) AS table_name, count(*) AS n FROM orders WHERE lower(o_orderstatus) IN ('f', 'o') GROUP BY 1")
+def route_dynamic(spark, sf_dir):
+    orders = table(spark, sf_dir, "orders")
+    routed = route.dynamic(orders, F.concat(F.lit("DB.ord_"), "o_orderstatus"))
+    there = spark.sql("SELECT * FROM VALUES ('db.ord_f'), ('db.ord_o') AS t(_table)")  # other tables don't exist
+    return route.existing(routed, there).groupBy(F.col("_table").alias("table_name")).agg(F.count("*").alias("n"))
+
+
+@query(f"""SELECT partition, count(*) FILTER (event_type <> 'error') AS n_rows, max("offset") + 1 AS next_offset FROM ({LOG}) GROUP BY 1""")
+def tombstone_skip(spark, sf_dir):
+    log = events_log(spark, sf_dir).withColumn("value", F.when(F.col("event_type") != "error", F.col("props")))
+    written = log.where(F.col("value").isNotNull()).groupBy("partition").agg(F.count("*").alias("n_rows"))
+    return commits.offsets(log).select("partition", "next_offset").join(written, "partition").select("partition", "n_rows", "next_offset")
+
+
+# transforms -------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_id, json_extract_string(props, '$.k') AS k FROM events")
+def nested_extract(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("event_id", F.struct(F.from_json("props", "struct<k:bigint>").alias("p")).alias("value"))
+    return e.select("event_id", xf.extract(F.col("value"), e.schema["value"].dataType, "p.k").cast("string").alias("k"))
+
+
+@query("SELECT c_custkey, c_name, c_name AS c_name_copy FROM customer")
+def copy_value(spark, sf_dir):
+    log = records(table(spark, sf_dir, "customer"), key="c_custkey", topic="c", columns=["c_custkey", "c_name"])
+    return xf.copy_value(log, "c_name", "c_name_copy").select("value.*")
+
+
+@query(
+    """SELECT o_orderkey, o_totalprice, CASE o_orderstatus WHEN 'O' THEN 'U' WHEN 'F' THEN 'D' ELSE 'I' END AS op, CAST(o_orderdate AS DATE)::VARCHAR AS ts,
+'shop.orders' AS source FROM orders"""
+)
+def dms_unwrap(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    op = F.when(F.col("o_orderstatus") == "O", "update").when(F.col("o_orderstatus") == "F", "delete").otherwise("insert")
+    meta = F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("timestamp"), op.alias("operation"), F.lit("shop").alias("schema-name"), F.lit("orders").alias("table-name"))
+    log = records(o, key="o_orderkey", topic="o", columns=[F.struct("o_orderkey", "o_totalprice").alias("data"), meta.alias("metadata")])
+    return xf.dms_unwrap(log).select("value.o_orderkey", "value.o_totalprice", "value._cdc.op", "value._cdc.ts", "value._cdc.source")
+
+
+def _debezium(spark, sf_dir):
+    o = table(spark, sf_dir, "orders")
+    row = lambda d: F.struct("o_orderkey", (F.round(F.col("o_totalprice")).cast("long") + d).alias("price"))
+    op = F.when(F.col("o_orderstatus") == "O", "u").when(F.col("o_orderstatus") == "F", "d").otherwise("r")
+    source = F.struct(F.lit("db1").alias("db"), F.lit("sales").alias("schema"), F.lit("orders").alias("table"))
+    value = [op.alias("op"), (F.col("o_orderkey") * 1000).alias("ts_ms"), source.alias("source"), row(0).alias("before"), row(1).alias("after")]
+    return records(o, key="o_orderkey", topic="o", columns=value)
+
+
+_DEBEZIUM = """SELECT o_orderkey, CAST(round(o_totalprice) AS BIGINT) + (o_orderstatus <> 'F')::INT AS price,
+CASE o_orderstatus WHEN 'O' THEN 'U' WHEN 'F' THEN 'D' ELSE 'I' END AS op, o_orderkey * 1000 AS ts, o_orderkey // 4 AS log_offset, 'sales.orders' AS source, '{}' AS target FROM orders"""
+
+
+def _unwrapped(df):
+    c = F.col("value._cdc")
+    return df.select("value.o_orderkey", "value.price", c["op"].alias("op"), F.unix_millis(c["ts"]).alias("ts"), c["offset"].alias("log_offset"), c["source"].alias("source"), c["target"].alias("target"))
+
+
+@query(_DEBEZIUM.format("sales.orders"))
+def debezium_unwrap(spark, sf_dir):
+    return _unwrapped(xf.debezium_unwrap(_debezium(spark, sf_dir)))
+
+
+@query(_DEBEZIUM.format("sales_x.orders_x"))
+def debezium_target_pattern(spark, sf_dir):
+    return _unwrapped(xf.debezium_unwrap(_debezium(spark, sf_dir), "{db}_x.{table}_x"))
+
+
+@query("SELECT event_id, unnest(json_keys(props)) AS key, json_extract_string(props, '$.' || unnest(json_keys(props))) AS value FROM events")
+def json_to_map_root(spark, sf_dir):
+    log = events_log(spark, sf_dir).withColumn("value", F.col("props"))
+    return xf.json_to_map(log).select("event_id", F.explode("value.payload").alias("key", "value"))
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
+def json_to_map_struct(spark, sf_dir):
+    log = events_log(spark, sf_dir).withColumn("value", F.col("props"))
+    return xf.json_to_struct(log).select("event_id", "value.k")
+
+
+_META = """SELECT event_id, 'events' AS topic, CAST(event_id % 4 AS INTEGER) AS partition, event_id // 4 AS log_offset, epoch_us(ts) // 1000 AS millis FROM events"""
+
+
+@query(_META)
+def log_metadata_flat(spark, sf_dir):
+    log = records(table(spark, sf_dir, "events"), key="event_id", topic="events", columns=["event_id"])
+    v = xf.log_metadata(log, "_at").select("value.*")
+    return v.select("event_id", F.col("_at_topic").alias("topic"), F.col("_at_partition").alias("partition"), F.col("_at_offset").alias("log_offset"), F.col("_at_timestamp").alias("millis"))
+
+
+@query(_META)
+def log_metadata_nested(spark, sf_dir):
+    log = records(table(spark, sf_dir, "events"), key="event_id", topic="events", columns=["event_id"])
+    v = xf.log_metadata(log, nested=True).select("value.event_id", "value._kafka_metadata.*")
+    return v.select("event_id", "topic", "partition", F.col("offset").alias("log_offset"), F.col("timestamp").alias("millis"))
+
+
+# coercion ---------------------------------------------------------------------------------------------
+
+
+def _one(spark, sf_dir, name, key, c, src, dst, out="v", opts=None):
+    df = table(spark, sf_dir, name)
+    return df.select(key, coerce(c, src, dst, opts or Options(where=F.lit(name))).alias(out))
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(l_linenumber AS INTEGER) AS a, l_orderkey AS b FROM lineitem")
+def coerce_int_string(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    text = T.StringType()
+    return df.select(
+        "l_orderkey", "l_linenumber", coerce(F.col("l_linenumber").cast("string"), text, T.IntegerType()).alias("a"), coerce(F.concat(F.lit("+"), F.col("l_orderkey").cast("string")), text, T.LongType()).alias("b")
+    )
+
+
+@query("SELECT p_partkey, CAST(trunc(p_retailprice) AS BIGINT) AS v FROM part")
+def coerce_long_trunc(spark, sf_dir):
+    return _one(spark, sf_dir, "part", "p_partkey", F.col("p_retailprice"), T.DoubleType(), T.LongType())
+
+
+@query("SELECT o_orderkey, CAST(((o_orderkey * 1000003 + 2147483648) % 4294967296 + 4294967296) % 4294967296 - 2147483648 AS INTEGER) AS v FROM orders")
+def coerce_int_wrap(spark, sf_dir):
+    return _one(spark, sf_dir, "orders", "o_orderkey", F.col("o_orderkey") * 1000003, T.LongType(), T.IntegerType())
+
+
+@query("SELECT l_orderkey, l_linenumber, CAST(CAST(CAST(l_extendedprice * 1.005::DOUBLE AS VARCHAR) AS DECIMAL(38,18)) AS DECIMAL(18,2))::VARCHAR AS v FROM lineitem")
+def coerce_decimal_half_up(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    return df.select("l_orderkey", "l_linenumber", coerce(F.col("l_extendedprice") * 1.005, T.DoubleType(), T.DecimalType(18, 2)).cast("string").alias("v"))
+
+
+@query("SELECT event_id, lower(CASE event_type WHEN 'click' THEN 'TRUE' WHEN 'view' THEN 'yes' ELSE event_type END) = 'true' AS v FROM events")
+def coerce_boolean(spark, sf_dir):
+    text = F.when(F.col("event_type") == "click", "TRUE").when(F.col("event_type") == "view", "yes").otherwise(F.col("event_type"))
+    return _one(spark, sf_dir, "events", "event_id", text, T.StringType(), T.BooleanType())
+
+
+@query("SELECT r_regionkey, hex(CAST(r_name AS BLOB)) AS v FROM region")
+def coerce_binary_base64(spark, sf_dir):
+    return _one(spark, sf_dir, "region", "r_regionkey", F.base64(F.col("r_name").cast("binary")), T.StringType(), T.BinaryType()).withColumn("v", F.hex("v"))
+
+
+@query("SELECT o_orderkey, strftime(DATE '1970-01-01' + CAST(o_orderkey % 30000 AS INTEGER), '%Y-%m-%d') AS v FROM orders")
+def coerce_date_epoch_days(spark, sf_dir):
+    return _one(spark, sf_dir, "orders", "o_orderkey", F.col("o_orderkey") % 30000, T.LongType(), T.DateType()).withColumn("v", F.col("v").cast("string"))
+
+
+@query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS v FROM orders")
+def coerce_date_text(spark, sf_dir):
+    return _one(spark, sf_dir, "orders", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd"), T.StringType(), T.DateType()).withColumn("v", F.col("v").cast("string"))
+
+
+@query("SELECT event_id, epoch_us(epoch_ms(event_id * 7919 + 1700000000123)) AS v FROM events")
+def coerce_timestamp_millis(spark, sf_dir):
+    return _one(spark, sf_dir, "events", "event_id", F.col("event_id") * 7919 + 1700000000123, T.LongType(), T.TimestampType()).withColumn("v", F.unix_micros("v"))
+
+
+@query("SELECT event_id, epoch_us(date_trunc('second', ts)) - CASE event_id % 3 WHEN 2 THEN 5400000000 ELSE 0 END AS v, epoch_us(date_trunc('second', ts)) AS w FROM events")
+def coerce_timestamp_text(spark, sf_dir):
+    offset = F.element_at(F.array(F.lit(""), F.lit("Z"), F.lit("+01:30")), (F.col("event_id") % 3 + 1).cast("int"))
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), offset)
+    df = table(spark, sf_dir, "events")
+    zoned = coerce(text, T.StringType(), T.TimestampType())
+    local = coerce(text, T.StringType(), T.TimestampNTZType())
+    return df.select("event_id", F.unix_micros(zoned).alias("v"), F.unix_micros(local.cast("timestamp")).alias("w"))
+
+
+@query("SELECT event_id, (hour(ts) * 3600 + minute(ts) * 60 + second(ts)) * 1000000 AS v FROM events")
+def coerce_time_text(spark, sf_dir):
+    from .functions.coerce import time_micros
+
+    return table(spark, sf_dir, "events").select("event_id", time_micros(F.date_format("ts", "HH:mm:ss"), T.StringType()).alias("v"))
+
+
+@query("SELECT n_nationkey, '{\"a\":' || n_nationkey || ',\"b\":\"' || n_name || '\",\"c\":null}' AS v FROM nation")
+def coerce_to_json_string(spark, sf_dir):
+    n = table(spark, sf_dir, "nation").withColumn("s", F.struct(F.col("n_nationkey").alias("a"), F.col("n_name").alias("b"), F.lit(None).cast("string").alias("c")))
+    return n.select("n_nationkey", coerce(F.col("s"), n.schema["s"].dataType, T.StringType()).alias("v"))
+
+
+@query("SELECT event_id, k AS kk, k + 1 AS next FROM (SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)")
+def coerce_variant(spark, sf_dir):
+    e = table(spark, sf_dir, "events").withColumn("v", F.parse_json(F.regexp_replace("props", '"k": ([0-9]+)', '"k": "$1"')))
+    wanted = T.StructType([T.StructField("k", T.LongType())])
+    return e.select("event_id", *[c.alias("kk") for c in project(F.col("v"), T.VariantType(), wanted)]).withColumn("next", F.col("kk") + 1)
+
+
+@query("SELECT c_custkey AS id, c_name AS label, CAST(NULL AS VARCHAR) AS missing FROM customer")
+def name_mapping(spark, sf_dir):
+    wanted = T.StructType([T.StructField("id", T.LongType()), T.StructField("label", T.StringType()), T.StructField("missing", T.StringType())])
+    log = records(table(spark, sf_dir, "customer"), key="c_custkey", topic="c", columns=["c_custkey", "c_name"])
+    opts = Options(aliases={"id": ("c_custkey", "old_id"), "label": ("c_name",)})
+    return log.select(*project(F.col("value"), log.schema["value"].dataType, wanted, opts))
+
+
+@query("SELECT c_custkey AS C_CustKey, c_mktsegment AS C_MKTSEGMENT FROM customer")
+def case_insensitive_match(spark, sf_dir):
+    wanted = T.StructType([T.StructField("C_CustKey", T.LongType()), T.StructField("C_MKTSEGMENT", T.StringType())])
+    log = records(table(spark, sf_dir, "customer"), key="c_custkey", topic="c")
+    return log.select(*project(F.col("value"), log.schema["value"].dataType, wanted, Options(case_insensitive=True)))
+
+
+# schemas ----------------------------------------------------------------------------------------------
+
+
+@query("SELECT * FROM (VALUES ('id', 'bigint'), ('share', 'double'), ('flag', 'boolean'), ('name', 'string'), ('tags', 'array<string>'), ('more', 'struct<n:bigint>')) v(field, type)")
+def schema_infer_first_value(spark, sf_dir):
+    value = F.struct(
+        F.col("event_id").alias("id"), (F.col("event_id") + 0.5).alias("share"), (F.col("event_id") > 5).alias("flag"), F.col("event_type").alias("name"), F.array("event_type").alias("tags"),
+        F.struct(F.col("user_id").alias("n")).alias("more"), F.array().cast("array<int>").alias("none"),
+    )
+    found = schemas.inferred_schema(events_log(spark, sf_dir).withColumn("value", F.to_json(value)))
+    rows = ", ".join(f"('{f.name}', '{f.dataType.simpleString()}')" for f in found.fields)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(field, type)")
+
+
+@query(
+    """SELECT event_id, user_id, NULL AS value FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, user_id, value FROM events WHERE event_id % 2 = 1"""
+)
+def evolve_add_column(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    config = EngineConfig(tables=("t",), auto_create=True, evolve_schema=True)
+    engine = Engine(spark, config, store(spark))
+    engine.run_batch(records(e.where("event_id % 2 = 0"), key="event_id", topic="e", columns=["event_id", "user_id"]), 0)
+    engine.run_batch(records(e.where("event_id % 2 = 1"), key="event_id", topic="e", columns=["event_id", "user_id", "value"]), 1)
+    return engine.store.table("t").scan()
+
+
+@query("SELECT p_partkey, CAST(p_size AS BIGINT) + CASE WHEN p_partkey % 2 = 1 THEN 3000000000 ELSE 0 END AS size FROM part")
+def evolve_widen_int_long(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True, evolve_schema=True), store(spark))
+    engine.run_batch(records(p.where("p_partkey % 2 = 0"), key="p_partkey", topic="p", columns=["p_partkey", F.col("p_size").alias("size")]), 0)
+    engine.run_batch(records(p.where("p_partkey % 2 = 1"), key="p_partkey", topic="p", columns=["p_partkey", (F.col("p_size").cast("long") + 3000000000).alias("size")]), 1)
+    return engine.store.table("t").scan()
+
+
+# partition transforms ---------------------------------------------------------------------------------
+
+
+def _part(spark, sf_dir, name, key, spec):
+    df = table(spark, sf_dir, name)
+    field = partition.parse([spec])[0]
+    c = F.col(field.column)
+    if isinstance(df.schema[field.column].dataType, T.TimestampNTZType):
+        df = df.withColumn(field.column, c.cast("timestamp"))
+    return df.select(*key, partition.value(field, df.schema[field.column].dataType).alias("p"))
+
+
+def _parted(name: str, spec: str, key: tuple[str, ...], source: str, sql: str | None) -> None:
+    def f(spark, sf_dir):
+        out = _part(spark, sf_dir, source, key, spec)
+        return out.withColumn("p", F.col("p").cast("string")) if name == "part_day" else out
+
+    f.__name__ = name
+    query(sql)(f)
+
+
+_parted("part_year", "year(o_orderdate)", ("o_orderkey",), "orders", "SELECT o_orderkey, CAST(year(o_orderdate) - 1970 AS INTEGER) AS p FROM orders")
+_parted("part_month", "months(o_orderdate)", ("o_orderkey",), "orders", "SELECT o_orderkey, CAST((year(o_orderdate) - 1970) * 12 + month(o_orderdate) - 1 AS INTEGER) AS p FROM orders")
+_parted("part_day", "day(ts)", ("event_id",), "events", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS p FROM events")
+_parted("part_hour", "hours(ts)", ("event_id",), "events", "SELECT event_id, CAST(epoch_us(ts) // 3600000000 AS INTEGER) AS p FROM events")
+_parted("part_truncate_str", "truncate(p_name, 5)", ("p_partkey",), "part", "SELECT p_partkey, left(p_name, 5) AS p FROM part")
+_parted("part_truncate_int", "truncate(o_orderkey, 100)", ("o_orderkey",), "orders", "SELECT o_orderkey, o_orderkey - o_orderkey % 100 AS p FROM orders")
+_parted("part_identity", "c_mktsegment", ("c_custkey",), "customer", "SELECT c_custkey, c_mktsegment AS p FROM customer")
+_parted("part_bucket", "bucket(c_custkey, 16)", ("c_custkey",), "customer", None)
+
+
+# writing ----------------------------------------------------------------------------------------------
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def append_unpartitioned(spark, sf_dir):
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True), store(spark))
+    engine.run_batch(records(table(spark, sf_dir, "events"), key="event_id", topic="e", columns=["event_id", "user_id", "event_type"]))
+    return engine.store.table("t").scan()
+
+
+@query("SELECT event_id, epoch_us(ts) AS ts, event_type FROM events")
+def append_partitioned(spark, sf_dir):
+    config = EngineConfig(tables=("t",), auto_create=True, default_partition_by=("day(ts)", "event_type"), auto_create_props={"write.format.default": "orc"})
+    engine = Engine(spark, config, store(spark))
+    e = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    engine.run_batch(records(e, key="event_id", topic="e", columns=["event_id", "ts", "event_type"]))
+    return engine.store.table("t").scan().withColumn("ts", F.unix_micros("ts"))
+
+
+# mutations --------------------------------------------------------------------------------------------
+
+_LAST = f"""SELECT * FROM ({LOG}) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY partition DESC, "offset" DESC) = 1"""
+
+
+def _cdc(spark, sf_dir, cut: str | None = None):
+    e = events_log(spark, sf_dir)
+    e = e.where(cut) if cut else e
+    return e.select(*POSITION, "timestamp", F.struct("user_id", "event_id", "event_type", "op").alias("value"))
+
+
+def _cdc_engine(spark, **more):
+    options = {"tables": ("t",), "auto_create": True, "default_id_columns": ("user_id",), "cdc_field": "op"} | more
+    return Engine(spark, EngineConfig(**options), store(spark))
+
+
+@query(f"SELECT user_id, event_id, event_type FROM ({_LAST}) WHERE op <> 'D'")
+def cdc_apply(spark, sf_dir):
+    engine = _cdc_engine(spark)
+    engine.run_batch(_cdc(spark, sf_dir))
+    return engine.store.table("t").scan().drop("op")
+
+
+_HALVES = f"""WITH l AS ({LOG}), a AS (SELECT * FROM l WHERE event_id % 10 < 5), b AS (SELECT * FROM l WHERE event_id % 10 >= 5),
+x AS (SELECT * FROM a QUALIFY row_number() OVER (PARTITION BY {{key}} ORDER BY partition DESC, "offset" DESC) = 1),
+y AS (SELECT * FROM b QUALIFY row_number() OVER (PARTITION BY {{key}} ORDER BY partition DESC, "offset" DESC) = 1)
+SELECT user_id, event_id, event_type FROM x WHERE op <> 'D' AND NOT EXISTS (SELECT 1 FROM b WHERE b.op IN ('U', 'D') AND {{same}})
+UNION ALL SELECT user_id, event_id, event_type FROM y WHERE op <> 'D'"""
+
+
+@query(_HALVES.format(key="user_id", same="b.user_id = x.user_id"))
+def cdc_two_commits(spark, sf_dir):
+    engine = _cdc_engine(spark)
+    engine.run_batch(_cdc(spark, sf_dir, "event_id % 10 < 5"), 0)
+    engine.run_batch(_cdc(spark, sf_dir, "event_id % 10 >= 5"), 1)
+    return engine.store.table("t").scan().drop("op")
+
+
+@query(_HALVES.format(key="user_id, event_type", same="b.user_id = x.user_id AND b.event_type = x.event_type"))
+def cdc_partition_scoped(spark, sf_dir):
+    engine = _cdc_engine(spark, delete_scope="partition", default_partition_by=("event_type",))
+    engine.run_batch(_cdc(spark, sf_dir, "event_id % 10 < 5"), 0)
+    engine.run_batch(_cdc(spark, sf_dir, "event_id % 10 >= 5"), 1)
+    return engine.store.table("t").scan().drop("op")
+
+
+@query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 4 DESC, o_orderkey // 4 DESC) = 1")
+def upsert_latest(spark, sf_dir):
+    config = EngineConfig(tables=("t",), auto_create=True, default_id_columns=("o_custkey",), upsert=True)
+    engine = Engine(spark, config, store(spark))
+    engine.run_batch(records(table(spark, sf_dir, "orders"), key="o_orderkey", topic="o", columns=["o_custkey", "o_orderkey", "o_orderstatus"]))
+    return engine.store.table("t").scan()
+
+
+@query("SELECT event_id, user_id FROM events UNION ALL SELECT event_id, user_id FROM events")
+def insert_only_duplicates(spark, sf_dir):
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True, default_id_columns=("event_id",)), store(spark))
+    log = records(table(spark, sf_dir, "events"), key="event_id", topic="e", columns=["event_id", "user_id"])
+    engine.run_batch(log, 0)
+    engine.run_batch(log, 1)
+    engine.run_batch(log, 1)  # a batch that is run again is not committed again
+    return engine.store.table("t").scan()
+
+
+# commits ----------------------------------------------------------------------------------------------
+
+
+@query(f"""SELECT topic, partition, max("offset") + 1 AS next_offset, epoch_us(arg_max(ts, "offset")) AS last_us FROM ({LOG}) GROUP BY 1, 2""")
+def offsets_per_partition(spark, sf_dir):
+    found = commits.offsets(events_log(spark, sf_dir))
+    return found.select("topic", "partition", "next_offset", F.unix_micros("last_timestamp").alias("last_us"))
+
+
+@query(f"""SELECT epoch_us(min(t)) AS vtts FROM (SELECT arg_max(ts, "offset") AS t FROM ({LOG}) GROUP BY topic, partition)""")
+def vtts(spark, sf_dir):
+    assigned = spark.sql("SELECT 'events' AS topic, CAST(id AS INT) AS partition FROM range(4)")
+    return commits.valid_through(assigned, commits.offsets(events_log(spark, sf_dir))).select(F.unix_micros("vtts").alias("vtts"))
+
+
+def _manifest(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.select(F.concat(F.lit("f"), F.col("user_id").cast("string")).alias("path"), F.col("event_id").alias("event_seq"), (F.col("event_id") % 3).alias("record_count"))
+
+
+@query("SELECT 'f' || user_id AS path, min(event_id) AS event_seq, arg_min(event_id % 3, event_id) AS record_count FROM events GROUP BY 1")
+def dedup_files(spark, sf_dir):
+    return commits.distinct_files(_manifest(spark, sf_dir))
+
+
+@query("SELECT 'f' || user_id AS path, event_id AS event_seq, event_id % 3 AS record_count FROM events WHERE event_id % 3 > 0")
+def drop_empty_files(spark, sf_dir):
+    return commits.not_empty(_manifest(spark, sf_dir))
+
+
+@query(f"""SELECT event_id, partition, "offset" AS log_offset FROM ({LOG}) WHERE partition >= 2 OR "offset" >= 100 * (partition + 1)""")
+def committed_offset_filter(spark, sf_dir):
+    done = spark.sql("SELECT CAST(id AS INT) AS partition, 100 * (id + 1) AS next_offset FROM range(2)")
+    return commits.uncommitted(events_log(spark, sf_dir), done).select("event_id", "partition", F.col("offset").alias("log_offset"))
+
+
+@query("SELECT CAST(sum(user_id % 3) AS BIGINT) AS n_ready, sum(user_id % 3) >= 1000 AS is_ready FROM events WHERE event_type = 'click'")
+def commit_readiness(spark, sf_dir):
+    events = table(spark, sf_dir, "events").select(F.col("event_type").alias("commit_id"), (F.col("user_id") % 3).alias("n_assignments"))
+    return commits.ready(events, "click", 1000)
+
+
+@query(f"SELECT user_id, event_id, event_type FROM ({_LAST}) WHERE op <> 'D'")
+def stream_equals_batch(spark, sf_dir):
+    """The change log as files, read as a stream of several batches in log order and ingested exactly once."""
+    at = store(spark)
+    value = F.to_json(F.struct("user_id", "event_id", "event_type", "op"))
+    log = events_log(spark, sf_dir).select("topic", "partition", "offset", "timestamp", F.col("key").cast("string").alias("key"), value.alias("value"))
+    for p in range(4):  # one file each, in the order of the partitions
+        log.where(F.col("partition") == p).coalesce(1).write.mode("append").parquet(f"{at.root}/log")
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True, default_id_columns=("user_id",), cdc_field="op"), at, has_schema=False)
+    stream = engine.start(read(spark, f"{at.root}/log", schema=ENVELOPE, stream=True, files_per_batch=2), f"{at.root}/checkpoint", available_now=True)
+    stream.awaitTermination()
+    return at.table("t").scan().select("user_id", "event_id", "event_type")
