@@ -20,7 +20,9 @@ def simple(value, mode: str = "array"):
 
     Types are DDL names, {"struct": {...}} or {"array": type}.
     """
-    if value is None or isinstance(value, str):
+    if value is None:
+        return "null", None  # text, unless another document tells more
+    if isinstance(value, str):
         return "string", value
     if isinstance(value, bool):
         return "boolean", value
@@ -90,26 +92,25 @@ def _array(values: list, mode: str):
     if not values:
         return {"array": "string"}, []
     found = [simple(v, mode) for v in values]
-    kind, known = found[0][0], values[0] is not None
-    for (other, _), v in zip(found[1:], values[1:], strict=True):
-        kind = merged(kind, other, known, v is not None, "array")
-        known = known or v is not None
+    kind = found[0][0]
+    for other, _ in found[1:]:
+        kind = merged(kind, other, "array")
     return {"array": kind}, [out for _, out in found]
 
 
-def merged(a, b, a_known: bool = True, b_known: bool = True, where: str = "field"):
+def merged(a, b, where: str = "field"):
     """One type for two: a null yields to any, documents are united by key, other conflicts are errors."""
-    if a == b or not b_known:
+    if a == b or b == "null":
         return a
-    if not a_known:
+    if a == "null":
         return b
     if isinstance(a, dict) and isinstance(b, dict) and "struct" in a and "struct" in b:
         out = dict(a["struct"])
         for k, v in b["struct"].items():
-            out[k] = merged(out[k], v, where=k) if k in out else v
+            out[k] = merged(out[k], v, k) if k in out else v
         return {"struct": out}
     if isinstance(a, dict) and isinstance(b, dict) and "array" in a and "array" in b:
-        return {"array": merged(a["array"], b["array"], where=where)}
+        return {"array": merged(a["array"], b["array"], where)}
     if {str(a), str(b)} == {"int", "bigint"}:
         return "bigint"
     raise ValueError(f"{where} mixes {a} and {b}")

@@ -110,6 +110,8 @@ class Engine:
         if (vtts := self._vtts(progress)) is not None:
             summary["kafka.connect.vtts"] = str(vtts)
         done = table.publish(files, removed, summary, branch)
+        if done.number == state.number:
+            return None  # no files, or committed before
         return {"type": "commit-table", "table": name, "snapshot": done.number, "commit_id": commit_id, "vtts": vtts}
 
     def start(self, records: DataFrame, checkpoint: str, *, available_now: bool = False):

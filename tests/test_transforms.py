@@ -6,12 +6,11 @@ from pyspark.sql import functions as F
 from siltworks.operators import mongo, route
 from siltworks.operators import transforms as xf
 
-ENVELOPE = [F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").cast("long").alias("offset"), F.lit("2024-01-01").cast("timestamp").alias("timestamp")]
-
 
 def log(spark, values, key=None):
     df = spark.createDataFrame([(i, v, key) for i, v in enumerate(values)], "id int, value string, key string")
-    return df.select(*ENVELOPE, "key", "value")
+    at = [F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").cast("long").alias("offset"), F.lit("2024-01-01").cast("timestamp").alias("timestamp")]
+    return df.select(*at, "key", "value")
 
 
 def test_json_types_by_the_first_record(spark):
