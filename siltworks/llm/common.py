@@ -61,7 +61,7 @@ def semi_join(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     return maybe.join(ids, key, "left_semi")
 
 
-def small_batches(spark: SparkSession, size: str = "8m") -> None:
+def small_batches(spark: SparkSession, size: str = "4m") -> None:
     """Bound the Arrow batches that Python workers get by their bytes, as texts may be long."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, "64m") in ("64m", "67108864b", str(1 << 26)):  # unless the session has a bound of its own

@@ -27,7 +27,7 @@ from .components import components
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
-def super_minhash(s: np.ndarray, row: np.ndarray, n_rows: int, m: int, chunk: int = 1 << 17) -> np.ndarray:
+def super_minhash(s: np.ndarray, row: np.ndarray, n_rows: int, m: int, chunk: int = 1 << 15) -> np.ndarray:
     """The signatures (n_rows, m) of sets given as (element hash, row), sorted by row; inf for empty sets."""
     best = np.full((n_rows, m), np.inf)
     flat = best.ravel()
@@ -260,8 +260,8 @@ def near_duplicates(
     # rows that share an id tie their sets together
     several = sets.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
     ties = sets.join(several, "doc_id").join(classes, ["f1", "f2"]).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    more = verified(cross, docs, id_col, text_col, words, percent).unionByName(ties)
-    links = links.unionByName(more)
+    more = materialise(verified(cross, docs, id_col, text_col, words, percent))  # a task with one Python worker at a time
+    links = links.unionByName(more).unionByName(ties)
     tree = components(links)
 
     rep = classes.join(tree.withColumnRenamed("node", "rep"), "rep", "left")
