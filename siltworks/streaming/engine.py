@@ -26,6 +26,7 @@ from ..plans import schema as schemas
 from ..sources.store import MAIN, Store
 
 POSITION = ("topic", "partition", "offset")
+AUDIT = T.StructType([*[T.StructField(n, T.StringType()) for n in ("id", "type", "group_id", "commit_id", "payload")], T.StructField("ts", T.TimestampType())])
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -36,6 +37,7 @@ class Engine:
         self.spark, self.config, self.store = spark, config, store
         self.transforms, self.has_schema = list(transforms), has_schema
         self.on_commit: list[Callable[[dict], None]] = []
+        self.audit: str | None = None  # the name of a table that keeps the events
         spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
 
     def run_batch(self, records: DataFrame, batch_id: int = 0, query_id: str = "batch") -> list[dict]:
@@ -58,8 +60,18 @@ class Engine:
         for event in events:
             for listener in self.on_commit:
                 listener(event)
+        if self.audit:
+            self._keep(events, f"{query_id}/{batch_id}")
         return events
 
+    def _keep(self, events: list[dict], key: str) -> None:
+        """Appends the events to the audit table, once per batch."""
+        table = self.store.table(self.audit)
+        table.create(AUDIT)
+        own = [(f"{key}/{i}", e["type"], self.config.control_group, e["commit_id"], json.dumps(e)) for i, e in enumerate(events)]
+        rows = self.spark.createDataFrame(own, T.StructType(AUDIT.fields[:-1])).withColumn("ts", F.current_timestamp())
+        table.publish([table.write(rows)], [], {"commit-key": f"{key}/{self.audit}"})
+
     @staticmethod
     def _vtts(progress: dict) -> int | None:
         times = [t for _, t in progress.values()]

@@ -137,3 +137,29 @@ def test_vtts_needs_every_partition(spark):
     assert commits.valid_through(assigned, progress).first()[0] is None
     assert commits.valid_through(assigned.limit(1), progress).first()[0] == dt.datetime(2024, 1, 1)
     assert commits.valid_through(assigned.limit(1), progress, partial=True).first()[0] is None
+
+
+def test_compaction_and_later_deletes(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True, cdc_field="op", default_id_columns=("id",)), store)
+    engine.audit = "events"
+    engine.run_batch(log(spark, [(1, "a", "x", "I"), (2, "b", "x", "I")]), 0)
+    engine.run_batch(log(spark, [(1, "a", "y", "U")], start=2), 1)
+    table = store.table("t")
+    before = sorted(map(tuple, table.scan().collect()))
+    assert len(table.compact().files) == 1 and sorted(map(tuple, table.scan().collect())) == before
+    engine.run_batch(log(spark, [(2, "b", "x", "D")], start=3), 2)
+    assert [r["id"] for r in table.scan().collect()] == [1]
+    kinds = [r["type"] for r in store.table("events").scan().orderBy("id").collect()]
+    assert kinds == ["commit-table", "commit-complete"] * 3
+
+
+def test_formats_and_partitions(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    for name in ("parquet", "orc"):
+        table = store.table(name)
+        table.create(T.StructType.fromDDL("id bigint, data string"), ["data"], {"write.format.default": name})
+        table.append(spark.createDataFrame([(123, "hello world!"), (234, "foobar")], "id bigint, data string"))
+        (file,) = table.load().files
+        assert file["record_count"] == 2 and sorted(r["id"] for r in table.scan().collect()) == [123, 234]
+        assert sum("_p_data=" in p.name for p in tmp_path.glob(f"{name}/data/*/*")) == 2
