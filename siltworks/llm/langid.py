@@ -230,7 +230,7 @@ def label(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
 
         model = shared.value
         names = np.array([*model.languages, "und"], object)
-        features, blocks = Features(), Blocks()
+        features, blocks = Features(), Blocks(1 << 19)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
         for batch in batches:
             has_letter = np.asarray(batch.column(2).fill_null(False).to_pylist(), bool)
