@@ -1,157 +1,159 @@
 """Cross-entropy difference: how much more a target model expects a document than a background model.
 
-Both models are bigram models over one vocabulary: the slots of hashed words that the background holds at
-least ``least`` times; all others are the unknown word.  Background counts are taken over every document,
-target counts over a bounded sample of target documents, in one pass: each task adds up fixed-size count
-tables and emits what isn't zero.  The background's counts are scaled to the target's number of words, so
-that the same smoothing weighs the same in both.  A document's score is the mean over its words of the
-target's loss less the background's; the lower, the more it is like the target.
+Both models are bigram models over one vocabulary, the words of all documents.  Counts are exact and taken
+over every document, the target's over every target document; no table of a fixed size holds them.
+
+Documents are dealt to blocks of about ``BLOCK`` bytes of text by a hash.  A block asks once for each distinct
+word and pair it holds: its keys (64-bit hashes) go, sorted and with the block's own counts, to the parts of
+the key space.  A part adds up what the blocks say and answers each with the corpus's counts in the order of its
+keys.  The block, which computes the same keys again, then scores its documents.  So blocks and parts bound what
+a task holds, their numbers grow with the corpus, and the driver sees three sums only.
+
+With c the counts, N their sums over words, b the background, t the target and s = N_t / N_b (at most 1):
+
+    p_b(w) = c_b(w) / N_b                             p_t(w) = (c_t(w) + prior * p_b(w)) / (N_t + prior)
+    p_b(w|v) = (s c_b(v,w) + weight * p_b(w)) / (s c_b(v) + weight), and likewise p_t(w|v), without s
+
+The background is scaled to the target's size, so that the same smoothing weighs the same in both.  A word that
+the background holds less than ``least`` times is unknown: its p_t is its p_b.  A document's score is the mean
+over its words of the target's loss less the background's; the lower, the more it is like the target.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+import math
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Blocks, WordHasher, mix64, small_batches, word_hashes
-
-#: Slots of words, and cells of word pairs.
-WORDS = 1 << 18
-PAIRS = 1 << 20
+from .common import Blocks, WordHasher, mix64, n_words, small_batches, word_hashes
 
+#: Bytes of text of a block, and words of the corpus for each part of the key space.
+BLOCK = 1 << 24
+PART = 1 << 21
 
-def word_slots(h: np.ndarray) -> np.ndarray:
-    return (h >> np.uint64(46)).astype(np.int64)
+_PAIR = np.uint64(0x9E3779B97F4A7C15)
 
 
-def pair_cells(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    return (mix64((left * WORDS + right + 1).astype(np.uint64)) >> np.uint64(44)).astype(np.int64)
+def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    return mix64(left * _PAIR + right)
 
 
-@dataclass(frozen=True)
-class Model:
-    """Counts of one corpus, ready for losses: word probabilities, counts of contexts and of pairs."""
+def _words(texts) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row) of each word of a column of texts."""
+    hasher, keys, rows = WordHasher(), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for first, _, data, at in Blocks(1 << 20)(texts):
+        h, row = word_hashes(hasher, data, at)
+        keys.append(h)
+        rows.append(row + first)
+    return np.concatenate(keys), np.concatenate(rows)
 
-    p: np.ndarray
-    context: np.ndarray
-    pair: np.ndarray
-    weight: float
 
-    def loss(self, slot: np.ndarray, cell: np.ndarray, first: np.ndarray, before: np.ndarray) -> np.ndarray:
-        """-log of each word's probability; words that are ``first`` have no context."""
-        p = self.p[slot]
-        after = (self.pair[cell] + self.weight * p) / (self.context[before] + self.weight)
-        return -np.log(np.where(first, p, after))
+def _planes(keys: np.ndarray) -> bytes:
+    """Sorted keys byte by byte, the highest of all first: these repeat and so compress."""
+    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-@dataclass(frozen=True)
-class Models:
-    known: np.ndarray
-    target: Model
-    background: Model
+def _keys(planes: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
 
 
-def models(counts: np.ndarray, least: int = 2, weight: float = 10.0, add: float = 0.5) -> Models:
-    """From counts (WORDS + PAIRS, 2) of the background and the target."""
-    words, pairs = counts[:WORDS].astype(float), counts[WORDS:].astype(float)
-    known = words[:, 0] >= least
-    size = words.sum(0)
-    scale = (min(1.0, size[1] / size[0]) if size[0] and size[1] else 1.0, 1.0)
-    out = []
-    for k in (0, 1):
-        own = words[:, k] * scale[k]
-        v = known.sum() + 1
-        p = (own + add) / (own.sum() + add * v)
-        p[~known] = (own[~known].sum() + add) / (own.sum() + add * v)
-        out.append(Model(p.astype(np.float32), own.astype(np.float32), (pairs[:, k] * scale[k]).astype(np.float32), weight))
-    return Models(known, target=out[1], background=out[0])
+def _ask(parts: int):
+    """A block's distinct keys with its own counts, a row for each part of the key space."""
 
+    def run(docs):
+        import pyarrow as pa
 
-def count(docs: DataFrame, *, text_col: str = "text", target_col: str) -> np.ndarray:
-    """Counts of words and pairs over all ``docs``, and over those with ``target_col``: a table of a fixed size."""
+        h, row = _words(docs["text"])
+        of_target = np.asarray(docs["target"].to_pylist(), bool)[row]
+        inner = row[1:] == row[:-1]
+        items = np.concatenate((h, pair_keys(h[:-1], h[1:])[inner]))
+        of_target = np.concatenate((of_target, of_target[1:][inner]))
+        keys, n = np.unique(items, return_counts=True)
+        some, m = np.unique(items[of_target], return_counts=True)
+        t = np.zeros(len(keys), np.uint32)
+        t[np.searchsorted(keys, some)] = m
+        n = n.astype(np.uint32)
+        part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        held, begin = np.unique(part, return_index=True)
+        cut = [slice(a, b) for a, b in zip(begin, [*begin[1:], len(keys)])]
+        block = pa.array(np.full(len(held), docs["block"][0].as_py(), np.int64))
+        columns = [block, pa.array(held)]
+        columns += [pa.array([f(x[c]) for c in cut], pa.binary()) for f, x in ((_planes, keys), (np.ndarray.tobytes, n), (np.ndarray.tobytes, t))]
+        return pa.Table.from_arrays(columns, names=["block", "part", "keys", "n", "t"])
+
+    return run
+
+
+def _answer(asked):
+    """The corpus's counts for each block's keys in one part, in the order of the keys."""
+    import pyarrow as pa
+
+    lists = [_keys(k) for k in asked["keys"].to_pylist()]
+    ends = np.cumsum([len(k) for k in lists])[:-1]
+    _, at = np.unique(np.concatenate(lists), return_inverse=True)
+    out = []
+    for name in ("n", "t"):
+        own = np.frombuffer(b"".join(asked[name].to_pylist()), np.uint32)
+        total = np.bincount(at, own).astype(np.float32)[at]
+        out.append(pa.array([x.tobytes() for x in np.split(total, ends)], pa.binary()))
+    return pa.Table.from_arrays([asked["block"], asked["part"], *out], names=["block", "part", "n", "t"])
 
-    def run(batches: Iterator):
-        import pyarrow as pa
 
-        hasher, blocks = WordHasher(), Blocks()
-        total = np.zeros((2, WORDS + PAIRS), np.int64)
-        for batch in batches:
-            for first, last, data, at in blocks(batch.column(0)):
-                h, row = word_hashes(hasher, data, at)
-                target = np.asarray(batch.column(1).slice(first, last - first).to_pylist(), bool)
-                slot = word_slots(h)
-                inner = row[1:] == row[:-1]
-                cell = pair_cells(slot[:-1], slot[1:])[inner]
-                of_target = target[row] if len(row) else np.zeros(0, bool)
-                for k, (w, c) in enumerate(((slot, cell), (slot[of_target], cell[of_target[1:][inner]]))):
-                    total[k, :WORDS] += np.bincount(w, minlength=WORDS)
-                    total[k, WORDS:] += np.bincount(c, minlength=PAIRS)
-        slot = np.flatnonzero(total[0])
-        for a in range(0, len(slot), 1 << 17):
-            own = slot[a : a + (1 << 17)]
-            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), pa.array(total[0, own]), pa.array(total[1, own])], names=["slot", "n", "target"])
-
-    rows = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(target_col), F.lit(False)).alias("target"))
-    found = rows.mapInArrow(run, "slot int, n bigint, target bigint").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("target").alias("target"))
-    table = found.toArrow()  # at most WORDS + PAIRS rows
-    counts = np.zeros((WORDS + PAIRS, 2), np.int64)
-    slot = table["slot"].to_numpy()
-    counts[slot, 0], counts[slot, 1] = table["n"].to_numpy(), table["target"].to_numpy()
-    return counts
-
-
-def score(docs: DataFrame, both: Models, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_words, ce_target, ce_background, score.
-
-    Words are runs of other characters than ASCII white space, with A-Z lower-cased.  Texts without words,
-    null ones too, have nulls for the three figures.
-    """
-    schema = "doc_id " + docs.schema[id_col].dataType.simpleString() + ", n_words bigint, ce_target double, ce_background double, score double"
-    shared = docs.sparkSession.sparkContext.broadcast(both)  # tables of a fixed size
+def _score(schema, n_background: int, n_target: int, least: int, weight: float, prior: float):
+    """The scores of a block's documents, from the corpus's counts of its keys."""
 
-    def run(batches: Iterator):
+    def run(docs, answers):
         import pyarrow as pa
 
-        hasher, blocks, both = WordHasher(), Blocks(), shared.value
-        for batch in batches:
-            for first, last, data, at in blocks(batch.column(1)):
-                n = last - first
-                h, row = word_hashes(hasher, data, at)
-                slot = word_slots(h)
-                size = np.bincount(row, minlength=n)
-                none = size == 0
-                means = []
-                if len(slot):
-                    begins = np.ones(len(slot), bool)
-                    begins[1:] = row[1:] != row[:-1]
-                    before = np.concatenate((slot[:1], slot[:-1]))
-                    cell = pair_cells(before, slot)
-                    means = [np.bincount(row, m.loss(slot, cell, begins, before), n) / np.maximum(size, 1) for m in (both.target, both.background)]
-                else:
-                    means = [np.zeros(n), np.zeros(n)]
-                figures = [pa.array(x, pa.float64(), mask=none) for x in (*means, means[0] - means[1])]
-                own = batch.column(0).slice(first, n)
-                yield pa.RecordBatch.from_arrays([own, pa.array(size.astype(np.int64)), *figures], names=["doc_id", "n_words", "ce_target", "ce_background", "score"])
-
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
-
-
-def cross_entropy_difference(docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", sample: int = 50_000) -> DataFrame:
+        rows = len(docs)
+        h, row = _words(docs["text"])
+        size = np.bincount(row, minlength=rows)
+        means = [np.zeros(rows), np.zeros(rows)]
+        if len(h):
+            inner = np.concatenate(([False], row[1:] == row[:-1]))
+            pairs = pair_keys(h[:-1], h[1:])[inner[1:]]
+            _, at = np.unique(np.concatenate((h, pairs)), return_inverse=True)
+            word, pair = at[: len(h)], at[len(h) :]
+            answers = answers.sort_by("part")
+            n, t = (np.frombuffer(b"".join(answers[c].to_pylist()), np.float32).astype(float) for c in ("n", "t"))
+            background = n[word] / n_background
+            target = np.where(n[word] < least, background, (t[word] + prior * background) / (n_target + prior))
+            scale = min(1.0, n_target / n_background) if n_target else 1.0
+            before = word[:-1][inner[1:]]
+            for k, (p, c, s) in enumerate(((target, t, 1.0), (background, n, scale))):
+                p[inner] = (s * c[pair] + weight * p[inner]) / (s * c[before] + weight)
+                means[k] = np.bincount(row, -np.log(p), rows) / np.maximum(size, 1)
+        figures = [pa.array(x, pa.float64(), mask=size == 0) for x in (*means, means[0] - means[1])]
+        return pa.Table.from_arrays([docs["doc_id"], pa.array(size.astype(np.int64)), *figures], names=schema)
+
+    return run
+
+
+def cross_entropy_difference(
+    docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 2, weight: float = 10.0, prior: float = 1000.0
+) -> DataFrame:
     """Score all ``docs`` by how they are like those whose ids are in ``targets``.
 
-    ``sample`` bounds the target documents that are learned from: of more ids, those that hash below a
-    threshold that keeps about as many.  The background is every document.  Null ids are no targets.
+    One row per input row: doc_id, n_words, ce_target, ce_background, score.  Words are runs of other characters
+    than ASCII white space, with A-Z lower-cased.  Texts without words, null ones too, have nulls for the three
+    figures.  Null ids are no targets; repeated rows count and are scored each; other columns aren't read.
+    Without targets both models are alike but for the contexts, and all documents are still scored.
     """
     small_batches(docs.sparkSession)
-    ids = targets.select(F.col(id_col).alias("_target_id")).where("_target_id is not null")
-    n = ids.count()
-    if n > sample:
-        ids = ids.where(F.pmod(F.xxhash64("_target_id"), F.lit(1 << 20)) < int((1 << 20) * sample / n))
-    ids = ids.distinct().withColumn("_is_target", F.lit(True))
-    rows = docs.select(F.col(id_col).alias("_target_id"), F.col(text_col).alias("text")).join(F.broadcast(ids), "_target_id", "left")
-    counts = count(rows, target_col="_is_target")
-    return score(docs, models(counts), id_col=id_col, text_col=text_col)
+    ids = targets.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct().withColumn("target", F.lit(True))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(ids, "doc_id", "left")
+    rows = rows.withColumn("target", F.coalesce("target", F.lit(False)))
+    size = n_words(F.col("text"))
+    total = rows.agg(F.sum(F.octet_length("text")), F.sum(size), F.sum(F.when(F.col("target"), size))).first()
+    n_bytes, n_background, n_target = (x or 0 for x in total)
+    blocks, parts = (max(1, math.ceil(x / y)) for x, y in ((n_bytes, BLOCK), (n_background, PART)))
+
+    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "text", "target")
+    asked = rows.groupBy("block").applyInArrow(_ask(parts), "block bigint, part bigint, keys binary, n binary, t binary")
+    answers = asked.groupBy("part").applyInArrow(_answer, "block bigint, part bigint, n binary, t binary")
+    names = ["doc_id", "n_words", "ce_target", "ce_background", "score"]
+    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words bigint, ce_target double, ce_background double, score double"
+    score = _score(names, n_background, n_target, least, weight, prior)
+    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)

@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -236,37 +237,34 @@ def test_viterbi_is_exact():
                 assert own[np.arange(n[i]), p].sum() - 5.0 * (p[1:] != p[:-1]).sum() == pytest.approx(v.max())
 
 
-def test_model_scores(spark, docs, empty, texts):
+@pytest.mark.parametrize("block, part", [(1 << 24, 1 << 21), (3000, 700)])
+def test_model_scores(spark, docs, empty, texts, monkeypatch, block, part):
+    monkeypatch.setattr(lm_score, "BLOCK", block)
+    monkeypatch.setattr(lm_score, "PART", part)
     good = docs.where("doc_id % 5 = 0").select("doc_id")
     out = {r["doc_id"]: r for r in lm_score.cross_entropy_difference(docs, good).where("doc_id is not null").collect()}
-    hasher = lm_score.WordHasher()
-
-    def slots(text):
-        w = words(text)
-        data = np.frombuffer((" ".join(w) + " ").encode(), np.uint8)
-        h, _ = lm_score.word_hashes(hasher, data, np.array([0, len(data)]))
-        return lm_score.word_slots(h) if w else np.empty(0, np.int64)
-
-    rows = [(i, slots(t)) for i, t in enumerate(texts)] + [(3, slots(texts[3]))] * 2 + [(None, slots("null id"))]
-    uni, bi = np.zeros((2, lm_score.WORDS)), np.zeros((2, lm_score.PAIRS))
-    for i, s in rows:
+    uni, bi = (Counter(), Counter()), (Counter(), Counter())
+    rows = [(i, t) for i, t in enumerate(texts)] + [(3, texts[3])] * 2 + [(None, "null id")]
+    for i, t in rows:
+        w = words(t)
         for k in (0, 1) if i is not None and i % 5 == 0 else (0,):
-            np.add.at(uni[k], s, 1)
-            np.add.at(bi[k], lm_score.pair_cells(s[:-1], s[1:]), 1)
-    known = uni[0] >= 2
-    scale = uni[1].sum() / uni[0].sum()
+            uni[k].update(w)
+            bi[k].update(zip(w, w[1:]))
+    total = [sum(u.values()) for u in uni]
+    scale = min(1, total[1] / total[0])
     for i in (0, 5, 44, 47):
-        s, loss = slots(texts[i]), []
-        for k, c in ((1, 1.0), (0, scale)):
-            u, b = uni[k] * c, bi[k] * c
-            size = u.sum() + 0.5 * (known.sum() + 1)
-            p = np.where(known, u + 0.5, u[~known].sum() + 0.5) / size
-            after = (b[lm_score.pair_cells(s[:-1], s[1:])] + 10 * p[s[1:]]) / (u[s[:-1]] + 10)
-            loss.append(-np.log(np.concatenate((p[s[:1]], after))).mean())
-        assert (out[i]["ce_target"], out[i]["ce_background"]) == pytest.approx(loss, rel=1e-4)
-        assert out[i]["score"] == pytest.approx(loss[0] - loss[1], abs=1e-3)
+        w, loss = words(texts[i]), []
+        p_b = [uni[0][x] / total[0] for x in w]
+        p_t = [p if uni[0][x] < 2 else (uni[1][x] + 1000 * p) / (total[1] + 1000) for x, p in zip(w, p_b)]
+        for k, p, s in ((1, p_t, 1), (0, p_b, scale)):
+            after = [(s * bi[k][v, x] + 10 * q) / (s * uni[k][v] + 10) for v, x, q in zip(w, w[1:], p[1:])]
+            loss.append(-np.log([p[0], *after]).mean())
+        assert (out[i]["ce_target"], out[i]["ce_background"]) == pytest.approx(loss, rel=1e-5)
+        assert out[i]["score"] == pytest.approx(loss[0] - loss[1], abs=1e-5)
     assert out[40]["n_words"] == 0 and out[40]["score"] is None
     assert lm_score.cross_entropy_difference(empty, empty).count() == 0
+    alone = lm_score.cross_entropy_difference(docs, empty)
+    assert alone.count() == docs.count() and alone.where("score is null and n_words > 0").count() == 0
 
 
 def test_licenses(spark, docs, empty):
