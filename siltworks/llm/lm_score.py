@@ -3,7 +3,8 @@
 Both models are bigram models over one vocabulary, the words of all documents.  Counts are exact and taken
 over every document, the target's over every target document; no table of a fixed size holds them.
 
-Documents are dealt to blocks of about ``BLOCK`` bytes of text by a hash.  A block asks once for each distinct
+Documents are dealt to blocks of about ``BLOCK`` bytes of text by a hash of their ids (of the text for null ids);
+the targets' ids meet them there.  A block asks once for each distinct
 word and pair it holds: its keys (64-bit hashes) go, sorted and with the block's own counts, to the parts of
 the key space.  A part adds up what the blocks say and answers each with the corpus's counts in the order of its
 keys.  The block, which computes the same keys again, then scores its documents.  So blocks and parts bound what
@@ -62,11 +63,12 @@ def _keys(planes: bytes) -> np.ndarray:
 def _ask(parts: int):
     """A block's distinct keys with its own counts, a row for each part of the key space."""
 
-    def run(docs):
+    def run(docs, targets):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         h, row = _words(docs["text"])
-        of_target = np.asarray(docs["target"].to_pylist(), bool)[row]
+        of_target = pc.is_in(docs["doc_id"], targets["doc_id"]).to_numpy()[row]
         inner = row[1:] == row[:-1]
         items = np.concatenate((h, pair_keys(h[:-1], h[1:])[inner]))
         of_target = np.concatenate((of_target, of_target[1:][inner]))
@@ -78,7 +80,7 @@ def _ask(parts: int):
         part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         held, begin = np.unique(part, return_index=True)
         cut = [slice(a, b) for a, b in zip(begin, [*begin[1:], len(keys)])]
-        block = pa.array(np.full(len(held), docs["block"][0].as_py(), np.int64))
+        block = pa.array(np.full(len(held), docs["block"][0].as_py() if len(held) else 0, np.int64))
         columns = [block, pa.array(held)]
         columns += [pa.array([f(x[c]) for c in cut], pa.binary()) for f, x in ((_planes, keys), (np.ndarray.tobytes, n), (np.ndarray.tobytes, t))]
         return pa.Table.from_arrays(columns, names=["block", "part", "keys", "n", "t"])
@@ -142,18 +144,21 @@ def cross_entropy_difference(
     Without targets both models are alike but for the contexts, and all documents are still scored.
     """
     small_batches(docs.sparkSession)
-    ids = targets.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct().withColumn("target", F.lit(True))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(ids, "doc_id", "left")
-    rows = rows.withColumn("target", F.coalesce("target", F.lit(False)))
-    size = n_words(F.col("text"))
-    total = rows.agg(F.sum(F.octet_length("text")), F.sum(size), F.sum(F.when(F.col("target"), size))).first()
-    n_bytes, n_background, n_target = (x or 0 for x in total)
+    ids = targets.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    sizes = rows.select("doc_id", F.octet_length("text").alias("bytes"), n_words(F.col("text")).alias("n"))
+    of_target = sizes.join(ids.withColumn("target", F.lit(True)), "doc_id", "left").withColumn("t", F.when(F.col("target"), F.col("n")))
+    n_bytes, n_background, n_target = (x or 0 for x in of_target.agg(F.sum("bytes"), F.sum("n"), F.sum("t")).first())
     blocks, parts = (max(1, math.ceil(x / y)) for x, y in ((n_bytes, BLOCK), (n_background, PART)))
 
-    rows = rows.select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).alias("block"), "doc_id", "text", "target")
-    asked = rows.groupBy("block").applyInArrow(_ask(parts), "block bigint, part bigint, keys binary, n binary, t binary")
+    def dealt(df, key):
+        return df.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks))).groupBy("block")
+
+    rows = dealt(rows, F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))))
+    ids = dealt(ids, F.col("doc_id").cast("string"))
+    asked = rows.cogroup(ids).applyInArrow(_ask(parts), "block bigint, part bigint, keys binary, n binary, t binary")
     answers = asked.groupBy("part").applyInArrow(_answer, "block bigint, part bigint, n binary, t binary")
     names = ["doc_id", "n_words", "ce_target", "ce_background", "score"]
-    schema = f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, n_words bigint, ce_target double, ce_background double, score double"
+    schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words bigint, ce_target double, ce_background double, score double"
     score = _score(names, n_background, n_target, least, weight, prior)
-    return rows.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(score, schema)
+    return rows.cogroup(answers.groupBy("block")).applyInArrow(score, schema)
