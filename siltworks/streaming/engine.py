@@ -29,6 +29,15 @@ POSITION = ("topic", "partition", "offset")
 AUDIT = T.StructType([*[T.StructField(n, T.StringType()) for n in ("id", "type", "group_id", "commit_id", "payload")], T.StructField("ts", T.TimestampType())])
 Transform = Callable[[DataFrame], DataFrame]
 
+#: Up to this many tables with a route value each read the log themselves; beyond it, it is written by table first.
+UNSTAGED = 2
+
+
+def _storable(kind: T.DataType) -> bool:
+    """Whether Parquet can hold values of this type: neither void nor a struct without fields anywhere."""
+    text = kind.simpleString()
+    return "void" not in text and "struct<>" not in text
+
 
 class Engine:
     """Runs batches of a log into the tables of ``store``."""
@@ -43,6 +52,7 @@ class Engine:
     def run_batch(self, records: DataFrame, batch_id: int = 0, query_id: str = "batch") -> list[dict]:
         """Ingests ``records`` (envelope and ``value``); returns one event per table's commit, and one for all."""
         progress = {(r["topic"], r["partition"]): (r["next_offset"], r["last_timestamp"]) for r in commits.offsets(records).collect()}  # one per log partition
+        cached = records.is_cached
         for transform in self.transforms:
             records = transform(records)
         field = None
@@ -51,11 +61,20 @@ class Engine:
         if self.config.route_field:
             field = extract(F.col("value"), kind, self.config.route_field)
         routed = route.route(live, self.config, field)
-        names = [r[0] for r in routed.select(route.TABLE).distinct().collect()] if self.config.dynamic else list(self.config.tables)
         commit_id = str(uuid.uuid5(uuid.NAMESPACE_URL, f"{query_id}/{batch_id}"))
-        work = [lambda n=n: self._table(n, routed.where(F.col(route.TABLE) == n), kind, progress, commit_id, f"{query_id}/{batch_id}") for n in sorted(names)]
-        with ThreadPoolExecutor(max(1, min(self.config.commit_threads, len(work) or 1))) as pool:
-            events = [e for e in (f.result() for f in [pool.submit(w) for w in work]) if e]
+        several = self.config.dynamic or len(self.config.tables) > UNSTAGED
+        staged = f"{self.store.root}/_staged-{uuid.uuid4().hex}" if field is not None and several and not cached and _storable(kind) else None
+        try:
+            if staged:
+                routed = self._stage(routed, staged)
+            names = [r[0] for r in routed.select(route.TABLE).distinct().collect()] if self.config.dynamic else list(self.config.tables)
+            work = [lambda n=n: self._table(n, routed.where(F.col(route.TABLE) == n), kind, progress, commit_id, f"{query_id}/{batch_id}") for n in sorted(names)]
+            with ThreadPoolExecutor(max(1, min(self.config.commit_threads, len(work) or 1))) as pool:
+                events = [e for e in (f.result() for f in [pool.submit(w) for w in work]) if e]
+        finally:
+            if staged:
+                folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+                folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
         events.append({"type": "commit-complete", "commit_id": commit_id, "vtts": self._vtts(progress)})
         for event in events:
             for listener in self.on_commit:
@@ -64,6 +83,15 @@ class Engine:
             self._keep(events, f"{query_id}/{batch_id}")
         return events
 
+    def _stage(self, routed: DataFrame, path: str) -> DataFrame:
+        """``routed``, written once with a folder per table: no table's work reads the log, or other tables' records.
+
+        A driver that dies leaves the folder, which nothing reads.
+        """
+        rows = routed.withColumn("_to", F.concat(F.lit("_"), F.col(route.TABLE))).drop(route.TABLE)
+        rows.write.partitionBy("_to").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path).withColumn(route.TABLE, F.expr("substring(_to, 2)")).drop("_to")
+
     def _keep(self, events: list[dict], key: str) -> None:
         """Appends the events to the audit table, once per batch."""
         table = self.store.table(self.audit)

@@ -64,6 +64,17 @@ def test_missing_tables(spark, tmp_path):
     assert store.table("tbl1").scan().count() == 1 and not store.exists("tbl2")
 
 
+def test_many_tables_read_the_log_once(spark, tmp_path):
+    batch = log(spark, [(1, "a", "007", "I"), (2, "b", "7", "I"), (3, "bc", "7", "I"), (4, None, None, "I")])
+    by_regex = EngineConfig(tables=("a", "b", "c"), auto_create=True, route_field="type", per_table={n: TableConfig(f".*{n}.*") for n in "abc"})
+    for config, want in ((by_regex, {"a": [1], "b": [2, 3], "c": [3]}), (EngineConfig(dynamic=True, auto_create=True, route_field="payload"), {"007": [1], "7": [2, 3]})):
+        store = Store(spark, f"file://{tmp_path}/{config.dynamic}")
+        events = Engine(spark, config, store).run_batch(batch)
+        assert {n: sorted(r.id for r in store.table(n).scan().collect()) for n in want} == want
+        assert [e["table"] for e in events[:-1]] == sorted(want)
+        assert not list((tmp_path / str(config.dynamic)).glob("_staged*"))
+
+
 def test_tombstones_only_move_offsets(spark, tmp_path):
     store = Store(spark, f"file://{tmp_path}")
     batch = log(spark, [(1, "a", "x", "I")]).withColumn("value", F.when(F.col("offset") < 0, F.col("value")))
