@@ -1,11 +1,11 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 Terms are words and their 4, 5 and 6 byte prefixes (inflections of one stem share them).  The vocabulary are
-the terms whose document frequency differs between the labelled classes by a likelihood-ratio test, counted
-over one text of each group of near copies.  Labelled examples with equal vectors are one index entry with
+all terms whose document frequency differs between the labelled classes, to either side, by a likelihood-ratio
+test, counted over one text of each group of near copies.  Labelled examples with equal vectors are one index entry with
 its number of examples and of toxic ones.  Entries stand in blocks; each term keeps the largest weight it
-has in each block, so a query's bound for a block is one product, blocks are scored from the highest bound
-down, and the search stops when no other block can reach the neighbours it has: the result is exact.  The
+has in each of its blocks, which bounds a query's cosines in a block; the blocks with the highest bounds are
+scored, then all others whose bound reaches the neighbours these gave: the result is exact.  The
 votes of the nearest examples, weighted by squared cosine and smoothed by the base rate, are the score.
 """
 
@@ -23,6 +23,8 @@ from .common import LOWER, Blocks, WordHasher, materialise, mix64, shingles, sma
 
 PREFIXES = (4, 5, 6)
 BLOCK = 64
+#: Blocks that are scored before the others are held against what they gave.
+AHEAD = 16
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
@@ -50,16 +52,24 @@ class Terms:
         return np.concatenate(terms), np.concatenate(rows)
 
 
+def _ranges(first: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the ranges first[i] to end[i], and the length of each range."""
+    n = end - first
+    return np.arange(int(n.sum())) + np.repeat(first - np.cumsum(n) + n, n), n
+
+
 @dataclass(frozen=True)
 class Index:
-    """Entries' unit vectors by term, in blocks, with the largest weight of each term in each block."""
+    """Entries' unit vectors by term, in blocks: a cell is a term's postings in a block, with their largest weight."""
 
     vocabulary: np.ndarray  # sorted term hashes
     idf: np.ndarray
-    indptr: np.ndarray  # postings of (term, block): docs[indptr[t, b]:indptr[t, b + 1]]
-    docs: np.ndarray
+    cells: np.ndarray  # term t has the cells cells[t]:cells[t + 1]
+    block: np.ndarray  # per cell
+    block_max: np.ndarray
+    first: np.ndarray  # cell c has the postings first[c]:first[c + 1]
+    docs: np.ndarray  # per posting
     weights: np.ndarray
-    block_max: np.ndarray  # (term, block)
     examples: np.ndarray  # per entry: labelled examples, toxic ones, the smallest id
     toxic: np.ndarray
     ids: np.ndarray
@@ -72,21 +82,27 @@ class Index:
 
     def nearest(self, slots: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Entries and cosines, nearest first, until they hold ``k`` examples; exact, ties by entry."""
-        bound = weights @ self.block_max[slots]
-        order = np.argsort(-bound, kind="stable")
-        entries, scores = np.empty(0, np.int64), np.empty(0)
-        for n, b in enumerate(order):
-            if bound[b] <= 0:
-                break
-            total = np.zeros(BLOCK)
-            for t, w in zip(slots, weights, strict=True):
-                lo, hi = self.indptr[t, b], self.indptr[t, b + 1]
-                total[self.docs[lo:hi] - b * BLOCK] += w * self.weights[lo:hi]
+        cells, n = _ranges(self.cells[slots], self.cells[slots + 1])
+        weights = np.repeat(weights, n)
+        bound = np.bincount(self.block[cells], weights * self.block_max[cells], -(-len(self.examples) // BLOCK))
+
+        def scored(blocks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            own = blocks[self.block[cells]]
+            posting, n = _ranges(self.first[cells[own]], self.first[cells[own] + 1])
+            total = np.bincount(self.docs[posting], np.repeat(weights[own], n) * self.weights[posting], len(self.examples))
             hit = np.flatnonzero(total)
-            entries, scores = np.concatenate((entries, hit + b * BLOCK)), np.concatenate((scores, total[hit]))
-            rest = bound[order[n + 1]] if n + 1 < len(order) else 0.0
-            if self.examples[entries[scores > rest]].sum() >= k:
-                break
+            return hit, total[hit]
+
+        ahead = np.zeros(len(bound), bool)
+        ahead[np.argsort(-bound, kind="stable")[:AHEAD]] = True
+        entries, scores = scored(ahead)
+        order = np.argsort(-scores, kind="stable")
+        enough = int(np.searchsorted(np.cumsum(self.examples[entries[order]]), k))
+        least = scores[order[enough]] - 1e-9 if enough < len(order) else 0.0
+        rest = ~ahead & (bound > 0) & (bound >= least)
+        if rest.any():
+            more, theirs = scored(rest)
+            entries, scores = np.concatenate((entries, more)), np.concatenate((scores, theirs))
         best = np.lexsort((entries, -np.round(scores, 12)))
         entries, scores = entries[best], scores[best]
         enough = int(np.searchsorted(np.cumsum(self.examples[entries]), k)) + 1
@@ -129,14 +145,14 @@ def build_index(vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple[int, i
     weight = np.concatenate([g[4] for g in entries]) if entries else np.empty(0)
     order = np.lexsort((doc, term))
     term, doc, weight = term[order].astype(np.int64), doc[order], weight[order]
-    cell = term * (n_blocks + 1) + doc // BLOCK
-    indptr = np.searchsorted(cell, np.arange(len(vocabulary) * (n_blocks + 1))).reshape(len(vocabulary), n_blocks + 1) if n_blocks else np.zeros((len(vocabulary), 1), np.int64)
-    block_max = np.zeros((len(vocabulary), n_blocks))
-    np.maximum.at(block_max, (term, doc // BLOCK), weight)
+    first = np.flatnonzero(np.diff(term * n_blocks + doc // BLOCK, prepend=-1))
+    block_max = np.maximum.reduceat(weight, first) if len(first) else weight
+    cells = np.searchsorted(term[first], np.arange(len(vocabulary) + 1))
+    block, first = doc[first] // BLOCK, np.append(first, len(doc))
     total = empty[0] + sum(g[1] for g in entries)
     toxic = empty[1] + sum(g[2] for g in entries)
     own = [np.array([g[i] for g in entries], np.int64) for i in (1, 2, 0)]
-    return Index(vocabulary, idf, indptr, doc, weight, block_max, *own, (empty[0], empty[1]), (toxic + 0.5) / (total + 1))
+    return Index(vocabulary, idf, cells, block, block_max, first, doc, weight, *own, (empty[0], empty[1]), (toxic + 0.5) / (total + 1))
 
 
 def _slots(vocabulary: np.ndarray, known: np.ndarray, term: np.ndarray, row: np.ndarray, n: int):
@@ -156,11 +172,10 @@ def _known(vocabulary: np.ndarray) -> np.ndarray:
     return known
 
 
-def train(examples: DataFrame, *, terms: int = 2048, least: float = 15.0, lift: float = 2.0) -> Index:
+def train(examples: DataFrame, *, least: float = 15.0) -> Index:
     """The index of ``examples`` (doc_id bigint, text, toxic int): a bounded number of rows, see :func:`sampled`.
 
-    Terms need a likelihood ratio of at least ``least`` and to be ``lift`` times as toxic as all examples; of
-    more than ``terms`` the most telling are kept.
+    Terms need a likelihood ratio of at least ``least``, be they typical of toxic or of other examples.
     """
 
     def keyed(batches: Iterator):
@@ -213,9 +228,8 @@ def train(examples: DataFrame, *, terms: int = 2048, least: float = 15.0, lift:
         + part(F.lit(toxic_n) - a, (F.lit(all_n) - n) * share)
         + part(F.lit(all_n - toxic_n) - (n - a), (F.lit(all_n) - n) * (1 - share))
     )
-    telling = counts.withColumn("ratio", ratio).where((F.col("ratio") >= least) & (a >= lift * share * n))
-    chosen = telling.orderBy(F.desc("ratio"), "term").limit(terms).collect()
-    chosen = sorted((np.int64(r["term"]).view(np.uint64), r["n"]) for r in chosen)
+    telling = counts.withColumn("ratio", ratio).where(F.col("ratio") >= least)
+    chosen = sorted((np.int64(r["term"]).view(np.uint64), r["n"]) for r in telling.collect())  # a part of the sample's terms
     vocabulary = np.array([t for t, _ in chosen], np.uint64)
     idf = np.log((all_n + 1) / (np.array([n for _, n in chosen], float) + 1)) + 1
 
@@ -229,7 +243,7 @@ def train(examples: DataFrame, *, terms: int = 2048, least: float = 15.0, lift:
                 own = [batch.column(i).slice(first, last - first) for i in (0, 2)]
                 yield pa.RecordBatch.from_arrays([*own, *(pa.array([f[i].tolist() for f in found], pa.list_(pa.int64())) for i in (0, 1))], names=["doc_id", "toxic", "slots", "tf"])
 
-    # at most `sample` rows of at most `terms` numbers
+    # at most `sample` rows, of their own terms
     table = rows.select("doc_id", "text", "toxic").mapInArrow(vectors, "doc_id bigint, toxic int, slots array<bigint>, tf array<bigint>").toArrow()
     ids, labels = table["doc_id"].to_pylist(), table["toxic"].to_pylist()
     slots, tf = table["slots"].to_pylist(), table["tf"].to_pylist()
@@ -245,7 +259,7 @@ def score(docs: DataFrame, index: Index, *, id_col: str = "doc_id", text_col: st
     """
     evidence = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("toxic", T.DoubleType())]))
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType()), T.StructField("evidence", evidence)])
-    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample and the number of terms
+    shared = docs.sparkSession.sparkContext.broadcast(index)  # bounded by the sample's postings
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -292,10 +306,10 @@ def sampled(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_
     return texts.join(F.broadcast(own), "doc_id")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 20_000, terms: int = 2048, k: int = 25) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 20_000, k: int = 25) -> DataFrame:
     """Learn from the labelled rows that are not held out, score all: doc_id, held_out, score, predicted, evidence."""
     small_batches(docs.sparkSession)
     examples = sampled(docs, labels.where(~held_out(id_col)), id_col=id_col, text_col=text_col, label_col=label_col, sample=sample)
-    index = train(examples, terms=terms)
+    index = train(examples)
     found = score(docs, index, id_col=id_col, text_col=text_col, k=k)
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")

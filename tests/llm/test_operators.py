@@ -288,6 +288,21 @@ def test_toxicity(spark, docs, empty):
     assert toxicity.toxicity(empty, marks).count() == 0 and toxicity.toxicity(docs, marks.limit(0)).count() == docs.count()
 
 
+def test_mostly_toxic_labels(spark):
+    rnd = random.Random(9)
+    say = lambda w, n: " ".join(rnd.choice(w) for _ in range(n))
+    filler = [f"word{i}" for i in range(50)]
+    rude, calm = ["vile", "scum", "filth", "idiot"], ["kindly", "garden", "thanks", "recipe"]
+    rows = [(i, say(rude if i % 10 < 7 else calm, 4) + " " + say(filler, 20), int(i % 10 < 7)) for i in range(400)]
+    # a quoted toxic word among clean wording: the wording decides
+    rows += [(400 + i, say(calm, 6) + " " + say(rude, 1) + " " + say(filler, 20), 0) for i in range(100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    out = toxicity.toxicity(df.select("doc_id", "text"), df.select("doc_id", "toxic")).join(df, "doc_id").toPandas()
+    held = out[out.held_out]
+    assert set(held.toxic) == {0, 1} and (held.predicted == held.toxic).all()
+    assert (out.evidence.str.len() > 0).all()
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(7)
     vocabulary, idf = np.arange(40, dtype=np.uint64), rng.random(40) + 1
