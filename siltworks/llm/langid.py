@@ -3,7 +3,7 @@
 The model holds, per language, log-probabilities of hashed character 3-grams, 4-grams and whole words in
 tables of a fixed size, and which scripts its words are written in.  A word's scores are the sums over its
 n-grams, relative to its best candidate and bounded below; languages that are not written in the word's
-script are no candidates.  A path through the words pays ``penalty`` whenever it changes its language; the
+script are no candidates: they get a score so low that no path keeps them to save two changes.  A path through the words pays ``penalty`` whenever it changes its language; the
 best path gives the spans, and the language with most words is the document's.
 
 A document whose best single language can't be beaten is settled without running the recursion: if no
@@ -25,8 +25,10 @@ from .common import Blocks, LOWER, WordHasher, mix64, small_batches
 
 #: Slots of each of the three tables of n-grams.
 SLOTS = 1 << 16
-PENALTY = 24.0
+PENALTY = 8.0
 FLOOR = -6.0
+#: Of a language that is not written in the word's script; finite, as it is summed.
+BARRED = -1000.0
 
 # First and last code point of the blocks of each script.
 SCRIPTS = {
@@ -157,13 +159,14 @@ def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang"
 
 
 def word_scores(model: Model, found) -> np.ndarray:
-    """Scores (words, languages): 0 for the best candidate, at least FLOOR."""
+    """Scores (words, languages): 0 for the best candidate, at least FLOOR for others, BARRED for no candidates."""
     start, end, letter, grams, whole, script = found
     per_byte = model.score[grams[letter, 0]] + model.score[grams[letter, 1]]
     before = np.cumsum(letter)
     per_word = 0.5 * np.add.reduceat(per_byte, before[start] - 1, axis=0) + model.score[whole]
-    per_word = np.where(model.written[script], per_word, -np.inf)
-    return np.maximum(per_word - per_word.max(1, keepdims=True), FLOOR).astype(np.float64)
+    candidate = model.written[script]
+    top = np.where(candidate, per_word, -np.inf).max(1, keepdims=True)
+    return np.where(candidate, np.maximum(per_word - top, FLOOR), BARRED).astype(np.float64)
 
 
 def viterbi(e: np.ndarray, begin: np.ndarray, penalty: float) -> np.ndarray:

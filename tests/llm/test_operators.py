@@ -221,6 +221,19 @@ def test_mixed_texts_get_spans(spark):
     assert [tuple(s) for s in row["spans"]] == [(0, 40, "a"), (40, 65, "b"), (65, 75, "a")] and row["lang_pred"] == "a"
 
 
+@pytest.mark.parametrize("n", [3, 5, 8])
+def test_short_stretches_get_spans(spark, n):
+    rnd = random.Random(n)
+    say = lambda w, n: " ".join(rnd.choice(w) for _ in range(n))
+    words_of = {"en": ["the", "house", "with", "water", "thing"], "de": ["der", "schatz", "und", "zeit", "wege"], "ru": ["дом", "вода", "это", "время", "слово"]}
+    rows = [(i, say(words_of[x], 50), x) for i, x in enumerate(list(words_of) * 30)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    texts = [(i, f"{say(words_of['en'], 30)} {say(words_of[x], k)} {say(words_of['en'], 30)}") for i, (x, k) in enumerate([("ru", n), ("de", n), ("ru", 1)])]
+    out = langid.label(spark.createDataFrame(texts, "doc_id bigint, text string"), model).orderBy("doc_id").collect()
+    for row, (x, k) in zip(out, [("ru", n), ("de", n), ("ru", 1)], strict=True):
+        assert [tuple(s) for s in row["spans"]] == [(0, 30, "en"), (30, 30 + k, x), (30 + k, 60 + k, "en")] and row["lang_pred"] == "en"
+
+
 def test_viterbi_is_exact():
     rng = np.random.default_rng(0)
     for _ in range(300):
