@@ -107,17 +107,17 @@ class Model:
     written: np.ndarray
 
 
-def train(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", sample: int = 20_000) -> Model:
+def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 20_000) -> Model:
     """Fit on the rows with a language.
 
-    ``sample`` bounds the rows that are read: of more, those whose texts hash below a threshold that keeps
-    about as many.  What reaches the driver are counts, at most 3 * 65536 per language.
+    ``sample`` bounds the rows that are read: of more, those whose ids and texts hash below a threshold that
+    keeps about as many; so copies of a text are drawn one by one.  What reaches the driver are counts, at most 3 * 65536 per language.
     """
     small_batches(labelled.sparkSession)
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     n = rows.count()
     if n > sample:
-        rows = rows.where(F.pmod(F.xxhash64(text_col), F.lit(1 << 20)) < int((1 << 20) * sample / n))
+        rows = rows.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 20)) < int((1 << 20) * sample / n))
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -280,13 +280,13 @@ def held_out(id_col: str = "doc_id"):
 
 def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 20_000, penalty: float = PENALTY) -> DataFrame:
     """Train on the rows of ``docs`` that are not held out, label all of them: :func:`label` with ``held_out``."""
-    model = train(docs.where(~held_out(id_col)), text_col=text_col, lang_col=lang_col, sample=sample)
+    model = train(docs.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col, sample=sample)
     return label(docs, model, id_col=id_col, text_col=text_col, penalty=penalty).withColumn("held_out", held_out("doc_id"))
 
 
 def drop_unidentified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 20_000) -> DataFrame:
     """The rows of ``docs``, with their own columns, that have a language: all but those labelled ``und``."""
-    model = train(docs.where(~held_out(id_col)), text_col=text_col, lang_col=lang_col, sample=sample)
+    model = train(docs.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col, sample=sample)
     whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
     found = label(whole, model, id_col="row").where("lang_pred <> 'und'")
     return found.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])

@@ -234,6 +234,11 @@ def test_short_stretches_get_spans(spark, n):
         assert [tuple(s) for s in row["spans"]] == [(0, 30, "en"), (30, 30 + k, x), (30 + k, 60 + k, "en")] and row["lang_pred"] == "en"
 
 
+def test_copies_are_sampled_one_by_one(spark):
+    df = spark.createDataFrame([(i, f"text of language {i % 5}", f"l{i % 5}") for i in range(1000)], "doc_id bigint, text string, lang string")
+    assert langid.train(df, sample=100).languages == ("l0", "l1", "l2", "l3", "l4")
+
+
 def test_viterbi_is_exact():
     rng = np.random.default_rng(0)
     for _ in range(300):
