@@ -8,6 +8,7 @@ import uuid
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space, the only separators of words: \x20 and \x09-\x0D.
 WHITE = " \t\n\x0b\f\r"
@@ -16,33 +17,90 @@ _MASK = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; one of this process only where the session names none."""
+    """The folder that driver and executors share, as the session names it.
+
+    In local mode, where there is one machine, a session that names none gets a folder of this process; on a
+    cluster that is an error, as executors could not see it.
+    """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="siltworks-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
 
 
+def _folder(spark: SparkSession, path: str):
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage is cut by files that outlive an executor.
 
-    The files are deleted when the JVM ends.
+    The files are deleted by :func:`release`, or else when the JVM ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/siltworks-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    where, fs = _folder(spark, path)
+    fs.deleteOnExit(where)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
 
 
-def semi_join(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
-    """The ``rows`` whose ``key`` is among the distinct, written ``ids`` (one column, that name).
+def release(*tables: DataFrame) -> None:
+    """Delete the files of materialised tables of which all that was made is written itself."""
+    for table in tables:
+        where, fs = _folder(table.sparkSession, table._scratch)
+        fs.delete(where, True)
+
+
+#: Row hashes for sampling are whole numbers below this.
+HASHES = 1 << 62
 
-    Most of the other rows never reach a shuffle: a bitmap of hashed ids, of at most 2**27 bits (16 MB)
-    whatever the input, is broadcast first.  A fuller bitmap lets more rows through, never fewer.
+
+def keep_below(sample: int, n: int) -> int:
+    """The bound below which the hashes of about ``sample`` of ``n`` rows lie: never 0, however large ``n``."""
+    return HASHES if n <= sample else max(1, sample * HASHES // n)
+
+
+def bounded_sample(rows: DataFrame, sample: int, *key) -> DataFrame:
+    """About ``sample`` of the distinct ``rows``, those whose ``key`` columns hash lowest; all if there are no more.
+
+    The same rows are drawn in every run.  At least one row is drawn if there is any: the bound is never below
+    the least hash.  Rows that repeat another in full are drawn as one.
+    """
+    own = F.shiftrightunsigned(F.xxhash64(*key), 2)
+    n, least = rows.agg(F.count("*"), F.min(own)).first()
+    if n <= sample:
+        return rows
+    return rows.where(own < F.lit(max(keep_below(sample, n), least + 1))).distinct()
+
+
+def whole_ids(df: DataFrame, *columns: str) -> None:
+    """Refuse id columns that aren't whole numbers: components are named by the smallest of their ids."""
+    for c in columns:
+        kind = df.schema[c].dataType
+        if not isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            raise TypeError(f"{c} must hold whole numbers of at most 64 bits, not {kind.simpleString()}")
+
+
+def _hashable(kind: T.DataType) -> bool:
+    return not any(x in kind.simpleString() for x in ("map<", "variant", "interval"))
+
+
+def row_hash(df: DataFrame):
+    """A 64-bit hash of all columns of a row; maps and variants by their JSON."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") if _hashable(f.dataType) else F.to_json(F.struct(F.col(f"`{f.name}`"))) for f in df.schema.fields])
+
+
+def _mapped(rows: DataFrame, key: str, ids: DataFrame):
+    """``rows`` with their place in a bitmap of hashed ids, the bitmap, and whether the place is set.
+
+    The bitmap has at most 2**27 bits (16 MB), whatever the input.
     """
     n = ids.count()
     bits = 1 << min(27, max(15, (16 * n).bit_length()))
@@ -51,18 +109,41 @@ def semi_join(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
     def bit(c):
         return F.pmod(F.xxhash64(c), F.lit(bits))
 
-    maps = ids.select(bit(F.col(key)).alias("_bit"))
-    maps = maps.groupBy((F.col("_bit") / size).cast("int").alias("_part")).agg(F.bitmap_construct_agg(F.col("_bit") % size).alias("_map"))
-    tagged = rows.withColumn("_bit", bit(F.col(key))).withColumn("_part", (F.col("_bit") / size).cast("int"))
-    place = F.col("_bit") % size
-    byte = F.conv(F.hex(F.substring("_map", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    maps = ids.select(bit(F.col(key)).alias("_sw_bit"))
+    maps = maps.groupBy((F.col("_sw_bit") / size).cast("int").alias("_sw_part")).agg(F.bitmap_construct_agg(F.col("_sw_bit") % size).alias("_sw_map"))
+    tagged = rows.withColumn("_sw_bit", bit(F.col(key))).withColumn("_sw_part", (F.col("_sw_bit") / size).cast("int"))
+    place = F.col("_sw_bit") % size
+    byte = F.conv(F.hex(F.substring("_sw_map", (place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     hit = F.expr("1").cast("int") == F.when(byte.isNull(), 0).otherwise(F.getbit(byte, (place % 8).cast("int")).cast("int"))
-    maybe = tagged.join(F.broadcast(maps), "_part").where(hit).select(*rows.columns)
+    return tagged, maps, hit
+
+
+def semi_join(rows: DataFrame, key: str, ids: DataFrame) -> DataFrame:
+    """The ``rows`` whose ``key`` is among the distinct, written ``ids`` (one column, that name).
+
+    Most of the other rows never reach a shuffle: a bitmap of the ids is broadcast first.  A fuller bitmap
+    lets more rows through, never fewer.
+    """
+    tagged, maps, hit = _mapped(rows, key, ids)
+    maybe = tagged.join(F.broadcast(maps), "_sw_part").where(hit).select(*rows.columns)
     return maybe.join(ids, key, "left_semi")
 
 
+def parted(rows: DataFrame, key: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows whose ``key`` may be among the distinct, written ``ids``, rows whose key surely isn't), by the bitmap alone.
+
+    Nothing is shuffled; all rows of one key are on the same side, null keys on the second.
+    """
+    tagged, maps, hit = _mapped(rows, key, ids)
+    seen = tagged.join(F.broadcast(maps), "_sw_part", "left").withColumn("_sw_hit", F.col("_sw_map").isNotNull() & F.coalesce(hit, F.lit(False)) & F.col(key).isNotNull())
+    return seen.where("_sw_hit").select(*rows.columns), seen.where("not _sw_hit").select(*rows.columns)
+
+
 def small_batches(spark: SparkSession, size: str = "4m") -> None:
-    """Bound the Arrow batches that Python workers get by their bytes, as texts may be long."""
+    """Bound the Arrow batches that Python workers get by their bytes, as texts may be long.
+
+    The setting is read when a plan runs, so it stays in the session; a bound of the session's own is kept.
+    """
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key, "64m") in ("64m", "67108864b", str(1 << 26)):  # unless the session has a bound of its own
         spark.conf.set(key, size)

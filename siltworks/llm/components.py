@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, release
 
 
 def spanning(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -72,7 +72,8 @@ def components(edges: DataFrame) -> DataFrame:
     e = materialise(edges.mapInArrow(_forest, "a bigint, b bigint"))
     mark = None
     while True:
-        e = materialise(_small(_large(e)))
+        before, e = e, materialise(_small(_large(e)))
+        release(before)
         found = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h")).first()
         if mark == (found["n"], found["h"]):
             return e.select(F.col("a").alias("node"), F.col("b").alias("component"))

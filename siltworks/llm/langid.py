@@ -3,17 +3,19 @@
 The model holds, per language, log-probabilities of hashed character 3-grams, 4-grams and whole words in
 tables of a fixed size, and which scripts its words are written in.  A word's scores are the sums over its
 n-grams, relative to its best candidate and bounded below; languages that are not written in the word's
-script are no candidates: they get a score so low that no path keeps them to save two changes.  A path through the words pays ``penalty`` whenever it changes its language; the
-best path gives the spans, and the language with most words is the document's.
-
-A document whose best single language can't be beaten is settled without running the recursion: if no
-stretch of words prefers another language by more than half the penalty, every path with a change loses
-(a path of p foreign stretches gains at most p * penalty / 2 and pays for at least p / 2 changes).
+script are no candidates: they get a score so low that no path keeps them to save two changes.  A path
+through the words pays ``penalty`` whenever it changes its language; the best path gives the spans, and the
+language with most words is the document's.  A block's distinct words are scored once.
+
+The recursion runs on contested stretches only.  A maximal stretch of a best path outside the text's best
+single language gains over it at least the penalty of its changes, two within a text and one at its edge;
+running extremes of the largest possible gains tell which words lie in such a stretch, and around them the
+path is in the single language.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -21,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Blocks, LOWER, WordHasher, mix64, small_batches
+from .common import Blocks, LOWER, WordHasher, bounded_sample, mix64, small_batches
 
 #: Slots of each of the three tables of n-grams.
 SLOTS = 1 << 16
@@ -29,6 +31,8 @@ PENALTY = 8.0
 FLOOR = -6.0
 #: Of a language that is not written in the word's script; finite, as it is summed.
 BARRED = -1000.0
+#: Bytes of a text that are scored at a time; a run of letters that is longer counts as several words.
+SEGMENT = 1 << 19
 
 # First and last code point of the blocks of each script.
 SCRIPTS = {
@@ -45,21 +49,21 @@ SCRIPTS = {
     "georgian": ((0x10A0, 0x10FF),),
     "hangul": ((0x1100, 0x11FF), (0xAC00, 0xD7AF)),
     "kana": ((0x3040, 0x30FF),),
-    "han": ((0x3400, 0x4DBF), (0x4E00, 0x9FFF)),
+    "han": ((0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0x20000, 0x323AF)),
 }
 NAMES = ("other", *SCRIPTS)
 
 
 def _script_table() -> np.ndarray:
-    """The script of each stretch of 64 code points of the basic plane; of a stretch with two, the later range."""
-    out = np.zeros(1024, np.int8)
+    """The script number of each code point, 0 for those of no block above."""
+    out = np.zeros(0x110000, np.int8)
     for number, ranges in enumerate(SCRIPTS.values(), 1):
         for low, high in ranges:
-            out[-(-low // 64) : high // 64 + 1] = number
+            out[low : high + 1] = number
     return out
 
 
-_STRETCH = _script_table()
+_SCRIPT = _script_table()
 #: Bytes that words consist of: ASCII letters and all bytes of other characters.
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
@@ -67,12 +71,15 @@ _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
 def _word_scripts(data: np.ndarray, start: np.ndarray) -> np.ndarray:
     """The highest script number among each word's characters; ``data`` is words and separators."""
-    follow = np.append(data[1:], 32)
-    lead2, lead3 = (data >= 0xC2) & (data < 0xE0), (data >= 0xE0) & (data < 0xF0)
     number = np.zeros(len(data), np.int8)
     number[data < 128] = 1
-    number[lead2] = _STRETCH[data[lead2] & 31]
-    number[lead3] = _STRETCH[(data[lead3].astype(np.int64) & 15) << 6 | follow[lead3] & 63]
+    wide = np.append(data, np.zeros(3, np.uint8)).astype(np.int32)
+    for size, low, high, bits in ((2, 0xC2, 0xE0, 31), (3, 0xE0, 0xF0, 15), (4, 0xF0, 0xF5, 7)):
+        at = np.flatnonzero((data >= low) & (data < high))
+        point = wide[at] & bits
+        for i in range(1, size):
+            point = point << 6 | wide[at + i] & 63
+        number[at] = _SCRIPT[np.minimum(point, 0x10FFFF)]
     return np.maximum.reduceat(number, start) if len(start) else number[:0]
 
 
@@ -110,14 +117,14 @@ class Model:
 def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 20_000) -> Model:
     """Fit on the rows with a language.
 
-    ``sample`` bounds the rows that are read: of more, those whose ids and texts hash below a threshold that
-    keeps about as many; so copies of a text are drawn one by one.  What reaches the driver are counts, at most 3 * 65536 per language.
+    ``sample`` is about how many rows are read (:func:`bounded_sample`): of more, those whose ids, texts and
+    languages hash lowest, so copies of a text under other ids are drawn one by one and rows repeated in full
+    as one.  What reaches the driver are counts, at most 3 * 65536 per language.  Rows without text or
+    language are ignored; without any row the model has no languages and labels all texts ``und``.
     """
     small_batches(labelled.sparkSession)
-    rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    n = rows.count()
-    if n > sample:
-        rows = rows.where(F.pmod(F.xxhash64(id_col, text_col), F.lit(1 << 20)) < int((1 << 20) * sample / n))
+    rows = labelled.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = bounded_sample(rows.where("lang is not null and text is not null"), sample, "doc_id", "text", "lang")
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -141,7 +148,7 @@ def train(labelled: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
             slot = np.flatnonzero(count)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(slot), pa.string()), pa.array(slot.astype(np.int32)), pa.array(count[slot])], names=["lang", "slot", "n"])
 
-    counts = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang")).mapInArrow(run, "lang string, slot int, n bigint")
+    counts = rows.select("text", "lang").mapInArrow(run, "lang string, slot int, n bigint")
     found = counts.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     langs = found["lang"].to_pylist()
     languages = tuple(sorted(set(langs)))
@@ -169,6 +176,60 @@ def word_scores(model: Model, found) -> np.ndarray:
     return np.where(candidate, np.maximum(per_word - top, FLOOR), BARRED).astype(np.float64)
 
 
+def _segments(data: np.ndarray, size: int):
+    """(begin, end) of parts of about ``size`` bytes, cut between words, or else between characters."""
+    begin = 0
+    while begin < len(data):
+        end = min(len(data), begin + size)
+        if end < len(data):
+            part = data[begin:end]
+            cut = np.flatnonzero(~_LETTER[part])
+            if not len(cut):
+                cut = np.flatnonzero((part & 0xC0) != 0x80)[1:] - 1
+            end = begin + int(cut[-1]) + 1 if len(cut) else end
+        yield begin, end
+        begin = end
+
+
+def scored(model: Model, features: Features, data: np.ndarray, segment: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(first byte, scores) of each word of a block of bytes.
+
+    Of words that occur several times in a segment the n-grams are looked up once.
+    """
+    starts, scores = [np.empty(0, np.int64)], [np.empty((0, len(model.languages)))]
+    for begin, stop in _segments(data, segment or SEGMENT):
+        part = LOWER[data[begin:stop]]
+        h, start, end = features.hasher(part, _LETTER[part])
+        if not len(start):
+            continue
+        _, one, again = np.unique(h, return_index=True, return_inverse=True)
+        size = end[one] - start[one]
+        at = np.cumsum(size + 1) - size - 1  # where each distinct word begins, a space after each
+        alone = np.full(int(at[-1] + size[-1] + 1), 32, np.uint8)
+        place = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        alone[np.repeat(at, size) + place] = part[np.repeat(start[one], size) + place]
+        starts.append(start + begin)
+        scores.append(word_scores(model, features(alone))[again])
+    return np.concatenate(starts), np.concatenate(scores)
+
+
+def _contested(e: np.ndarray, begin: np.ndarray, single: np.ndarray, texts: np.ndarray, penalty: float) -> np.ndarray:
+    """Whether each word can be outside the text's ``single`` language on its best path; true for some that aren't."""
+    n_words = len(e)
+    place = np.arange(n_words)
+    ref = single[texts]
+    own = e[place, ref]
+    rest = e.copy()
+    rest[place, ref] = -np.inf
+    total = np.cumsum(rest.max(1) - own)  # what leaving the single language gains at most, summed up
+    opening = np.concatenate(([0.0], total[:-1]))
+    apart = 2 * (np.abs(total).max() + penalty) * texts  # keeps the running extremes of one text from the next
+    low = np.minimum.accumulate(opening - apart) + apart
+    high = np.maximum.accumulate((total - apart)[::-1])[::-1] + apart
+    start, end = opening[begin[texts]], total[begin[texts + 1] - 1]
+    return np.maximum(np.maximum(high - start, end - low), high - low - penalty) >= penalty - 1e-3
+
+
 def viterbi(e: np.ndarray, begin: np.ndarray, penalty: float) -> np.ndarray:
     """The language of each word on each text's best path; text d has the words begin[d] to begin[d + 1]."""
     n_words, n_langs = e.shape
@@ -178,28 +239,26 @@ def viterbi(e: np.ndarray, begin: np.ndarray, penalty: float) -> np.ndarray:
     if not len(rows) or n_langs == 1:
         return out
     texts = np.repeat(np.arange(len(count)), count)
-    best = np.add.reduceat(e, begin[rows], axis=0).argmax(1)
     single = np.zeros(len(count), np.int64)
-    single[rows] = best
-    # the largest sum of any stretch by which another language is ahead of the best single one
-    ahead = np.cumsum(e - e[np.arange(n_words), single[texts]][:, None], axis=0)
-    apart = 2 * (np.abs(ahead).max() + penalty) * texts
-    low = ahead - apart[:, None]
-    first = np.zeros(n_words, bool)
-    first[begin[rows]] = True
-    opening = np.vstack((np.zeros(n_langs), ahead[:-1]))
-    low = np.minimum.accumulate(opening - apart[:, None], axis=0) + apart[:, None]
-    gain = np.maximum.reduceat((ahead - low).max(1), begin[rows])
+    single[rows] = np.add.reduceat(e, begin[rows], axis=0).argmax(1)
     out[:] = single[texts]
-    hard = rows[gain > penalty / 2]
-    hard = hard[np.argsort(-count[hard], kind="stable")]
-    if not len(hard):
+    open_ = _contested(e, begin, single, texts, penalty)
+    edge = np.diff(np.concatenate(([0], open_.view(np.int8), [0])))
+    first = np.zeros(n_words + 1, bool)
+    first[begin[rows]] = True
+    first = np.flatnonzero((edge == 1) | first & np.append(open_, False))
+    if not len(first):
         return out
-    own, length = begin[hard], count[hard]
-    value = e[own].copy()
-    steps = int(length[0])
-    came = np.empty((int(length.sum()), n_langs), np.int32)
+    last = np.minimum(np.append(first[1:], n_words), np.flatnonzero(edge == -1)[np.searchsorted(np.flatnonzero(edge == -1), first, "right")])
+    order = np.argsort(first - last, kind="stable")
+    own, length = first[order], (last - first)[order]
+    ref = single[texts[own]]
+    away = np.full((len(own), n_langs), penalty)  # around a stretch the path is in the single language
+    away[np.arange(len(own)), ref] = 0.0
+    value = e[own] - away * (own != begin[texts[own]])[:, None]
+    came = np.empty((int(length.sum()), n_langs), np.int16)
     offset = np.concatenate(([0], np.cumsum(length)))[:-1]
+    steps = int(length[0])
     for t in range(1, steps):
         live = int(np.searchsorted(-length, -t, "left"))
         v = value[:live]
@@ -208,7 +267,8 @@ def viterbi(e: np.ndarray, begin: np.ndarray, penalty: float) -> np.ndarray:
         stay = v >= change[:, None]
         came[offset[:live] + t] = np.where(stay, np.arange(n_langs), top[:, None])
         value[:live] = np.where(stay, v, change[:, None]) + e[own[:live] + t]
-    lang = value.argmax(1)
+    inner = own + length != begin[texts[own] + 1]
+    lang = (value - away * inner[:, None]).argmax(1)
     for t in range(steps - 1, -1, -1):
         live = int(np.searchsorted(-length, -t, "left"))
         out[own[:live] + t] = lang[:live]
@@ -223,34 +283,38 @@ def label(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
     ``spans`` are (start, end, lang) in words; words are runs of letters.  ``score`` is the share of words in
     ``lang_pred`` times its probability under a softmax of the languages' total scores.  Null texts, and
     those without a letter, are ``und`` with score 0 and no spans; ties go to the language that sorts first.
+    Ids may have any type, be null or repeat; an empty table gives no rows; other columns aren't read.
     """
+    return _labelled(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), model, penalty)
+
+
+def _labelled(rows: DataFrame, model: Model, penalty: float, inside: str | None = None) -> DataFrame:
+    """:func:`label` for the columns doc_id and text; with ``inside`` the text is that field of the struct ``doc_id``."""
+    small_batches(rows.sparkSession)
     span = T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("lang", T.StringType())])
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # tables of a fixed size per language
+    schema = T.StructType([T.StructField("doc_id", rows.schema["doc_id"].dataType), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("spans", T.ArrayType(span))])
+    shared = rows.sparkSession.sparkContext.broadcast(model)  # tables of a fixed size per language
 
     def run(batches: Iterator):
         import pyarrow as pa
 
         model = shared.value
         names = np.array([*model.languages, "und"], object)
-        features, blocks = Features(), Blocks(1 << 19)
+        features, blocks = Features(), Blocks(SEGMENT)
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
         for batch in batches:
-            has_letter = np.asarray(batch.column(2).fill_null(False).to_pylist(), bool)
-            for first, last, data, at in blocks(batch.column(1)):
+            has_letter = np.asarray(batch.column(1).fill_null(False).to_pylist(), bool)
+            for first, last, data, at in blocks(batch.column(0).field(inside) if inside else batch.column(2)):
                 n = last - first
                 pred, score = np.full(n, len(names) - 1), np.zeros(n)
                 spans: list = [[] for _ in range(n)]
-                found = features(data)
-                start = found[0]
-                if len(start) and len(model.languages):
-                    e = word_scores(model, found)
+                start, e = scored(model, features, data) if len(model.languages) else ([], None)
+                if len(start):
                     begin = np.searchsorted(start, at)
                     path = viterbi(e, begin, penalty)
                     rows = np.flatnonzero(np.diff(begin))
                     texts = np.repeat(np.arange(n), np.diff(begin))
-                    share = np.zeros((n, len(model.languages)))
-                    np.add.at(share, (texts, path), 1)
+                    share = np.bincount(texts * len(model.languages) + path, minlength=n * len(model.languages)).reshape(n, -1)
                     share = share[rows] / np.diff(begin)[rows][:, None]
                     total = np.add.reduceat(e, begin[rows], axis=0)
                     chance = np.exp(total - total.max(1, keepdims=True))
@@ -269,8 +333,8 @@ def label(docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: st
                 own = batch.column(0).slice(first, n)
                 yield pa.RecordBatch.from_arrays([own, pa.array(names[pred], pa.string()), pa.array(score), pa.array(spans, kind)], names=["doc_id", "lang_pred", "score", "spans"])
 
-    text = F.col(text_col)
-    return docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), text.rlike(r"\p{L}").alias("has_letter")).mapInArrow(run, schema)
+    text = F.col("doc_id").getField(inside) if inside else F.col("text")
+    return rows.select("doc_id", text.rlike(r"\p{L}").alias("has_letter"), *([] if inside else ["text"])).mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id"):
@@ -284,9 +348,26 @@ def identify(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return label(docs, model, id_col=id_col, text_col=text_col, penalty=penalty).withColumn("held_out", held_out("doc_id"))
 
 
-def drop_unidentified(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = 20_000) -> DataFrame:
-    """The rows of ``docs``, with their own columns, that have a language: all but those labelled ``und``."""
+def in_a_language(
+    docs: DataFrame,
+    *,
+    wanted: Sequence[str] | None = None,
+    least: float = 0.0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    lang_col: str = "lang",
+    sample: int = 20_000,
+) -> DataFrame:
+    """The rows of ``docs`` that have a language, which ``lang_col`` then names; other columns as they are.
+
+    A row goes if its text is null or has no letter, if its predicted language isn't ``wanted`` (None: any
+    learned one), or if its score is below ``least``.  Repeated rows are judged alike; an empty table, or one
+    without a labelled row to learn from, gives no rows.
+    """
     model = train(docs.where(~held_out(id_col)), id_col=id_col, text_col=text_col, lang_col=lang_col, sample=sample)
-    whole = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
-    found = label(whole, model, id_col="row").where("lang_pred <> 'und'")
-    return found.select(*[F.col("doc_id").getField(c).alias(c) for c in docs.columns])
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc_id"))
+    found = _labelled(whole, model, PENALTY, text_col).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    if wanted is not None:
+        found = found.where(F.col("lang_pred").isin(*wanted))
+    kept = [F.col("lang_pred").cast(docs.schema[c].dataType).alias(c) if c == lang_col else F.col("doc_id").getField(c).alias(c) for c in docs.columns]
+    return found.select(*kept)
