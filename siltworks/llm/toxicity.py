@@ -2,29 +2,35 @@
 
 Terms are words and their 4, 5 and 6 byte prefixes (inflections of one stem share them).  The vocabulary are
 all terms whose document frequency differs between the labelled classes, to either side, by a likelihood-ratio
-test, counted over one text of each group of near copies.  Labelled examples with equal vectors are one index entry with
-its number of examples and of toxic ones.  Entries stand in blocks; each term keeps the largest weight it
-has in each of its blocks, which bounds a query's cosines in a block; the blocks with the highest bounds are
-scored, then all others whose bound reaches the neighbours these gave: the result is exact.  The
-votes of the nearest examples, weighted by squared cosine and smoothed by the base rate, are the score.
+test, counted over one text of each group of near copies.  The test's level is ``LEVEL`` for the whole family
+of terms tested (Bonferroni), so chance brings no terms in however many there are.  Labelled examples with
+equal vectors are one index entry with its number of examples and of toxic ones.  Entries stand in blocks;
+each term keeps the largest weight it has in each of its blocks, which bounds a query's cosines in a block;
+blocks are scored in the order of their bounds until no bound reaches the neighbours found: the result is
+exact.  The votes of the nearest examples are weighted by squared cosine and smoothed by the base rate.  A
+score is the vote's calibrated chance: a monotone fit (pool adjacent violators) of the examples' labels to
+the votes that each gets from all others.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from statistics import NormalDist
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import LOWER, Blocks, WordHasher, materialise, mix64, shingles, small_batches, word_hashes
+from .common import LOWER, Blocks, WordHasher, bounded_sample, materialise, mix64, release, shingles, small_batches, whole_ids, word_hashes
 
 PREFIXES = (4, 5, 6)
 BLOCK = 64
-#: Blocks that are scored before the others are held against what they gave.
+#: Blocks that are scored before the others are held against what they gave; then twice as many, and so on.
 AHEAD = 16
+#: The chance that a term enters the vocabulary though no term differs between the classes.
+LEVEL = 0.05
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = _LETTER[128:] = True
 
@@ -75,6 +81,8 @@ class Index:
     ids: np.ndarray
     empty: tuple[int, int]  # examples without a term of the vocabulary, and toxic ones
     base: float
+    votes: np.ndarray  # the calibration: chances between these votes are interpolated
+    chances: np.ndarray
 
     def vector(self, slots: np.ndarray, tf: np.ndarray) -> np.ndarray:
         w = (1 + np.log(tf)) * self.idf[slots]
@@ -93,39 +101,83 @@ class Index:
             hit = np.flatnonzero(total)
             return hit, total[hit]
 
-        ahead = np.zeros(len(bound), bool)
-        ahead[np.argsort(-bound, kind="stable")[:AHEAD]] = True
-        entries, scores = scored(ahead)
-        order = np.argsort(-scores, kind="stable")
-        enough = int(np.searchsorted(np.cumsum(self.examples[entries[order]]), k))
-        least = scores[order[enough]] - 1e-9 if enough < len(order) else 0.0
-        rest = ~ahead & (bound > 0) & (bound >= least)
-        if rest.any():
-            more, theirs = scored(rest)
+        order = np.argsort(-bound, kind="stable")
+        order = order[: int((bound > 0).sum())]
+        entries, scores, least, at, step = np.empty(0, np.int64), np.empty(0), 0.0, 0, AHEAD
+        while at < len(order) and bound[order[at]] >= least:
+            some = np.zeros(len(bound), bool)
+            some[order[at : at + step]] = True
+            more, theirs = scored(some)
             entries, scores = np.concatenate((entries, more)), np.concatenate((scores, theirs))
+            best = np.argsort(-scores, kind="stable")
+            enough = int(np.searchsorted(np.cumsum(self.examples[entries[best]]), k))
+            least = scores[best[enough]] - 1e-9 if enough < len(best) else 0.0
+            at, step = at + step, 2 * step
         best = np.lexsort((entries, -np.round(scores, 12)))
         entries, scores = entries[best], scores[best]
         enough = int(np.searchsorted(np.cumsum(self.examples[entries]), k)) + 1
         return entries[:enough], scores[:enough]
 
+    def vote(self, entries: np.ndarray, cosines: np.ndarray, k: int, prior: float, without: tuple[int, int] | None = None) -> float:
+        """The share of toxic ones among the ``k`` nearest examples by squared cosine, smoothed by the base rate.
+
+        ``without`` is an entry that counts one example less, and the label of that example.
+        """
+        number, toxic = self.examples[entries].astype(float), self.toxic[entries].astype(float)
+        if without is not None:
+            own = entries == without[0]
+            number[own] -= 1
+            toxic[own] -= without[1]
+        share = np.divide(toxic, number, out=np.zeros(len(number)), where=number > 0)
+        number = np.diff(np.minimum(np.cumsum(number), k), prepend=0)  # of the last entry only as many as are wanted
+        w = cosines**2 * number
+        return float((w @ share + prior * self.base) / (w.sum() + prior))
+
     def score(self, slots: np.ndarray, tf: np.ndarray, k: int, prior: float) -> tuple[float, list[tuple[int, float, float]]]:
-        """The smoothed vote, and as evidence (id of an example, cosine, toxic share) of the nearest entries."""
+        """The calibrated vote, and as evidence (id of an example, cosine, toxic share) of the nearest entries."""
         if not len(slots):
             n, toxic = self.empty
             return (toxic + prior * self.base) / (n + prior), []
         entries, cosines = self.nearest(slots, self.vector(slots, tf), k)
-        if not len(entries):
-            return self.base, []
-        number = self.examples[entries].astype(float)
-        number[-1] -= max(0.0, number.sum() - k)  # of the last entry only as many examples as are wanted
         share = self.toxic[entries] / self.examples[entries]
-        w = cosines**2 * number
         evidence = [(int(self.ids[e]), float(c), float(s)) for e, c, s in zip(entries[:3], cosines, share, strict=False)]
-        return float((w @ share + prior * self.base) / (w.sum() + prior)), evidence
+        return float(np.interp(self.vote(entries, cosines, k, prior), self.votes, self.chances)), evidence
 
 
-def build_index(vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple[int, int, np.ndarray, np.ndarray]]) -> Index:
-    """``rows``: (id, label, slots, tf) of each labelled example."""
+def monotone(votes: np.ndarray, n: np.ndarray, toxic: np.ndarray, base: float) -> tuple[np.ndarray, np.ndarray]:
+    """The non-decreasing step function of the votes that is nearest to the shares toxic / n: (votes, chances) at its steps.
+
+    Neighbouring votes are pooled until the shares rise; each step is smoothed by one example of the base rate.
+    """
+    values, same = np.unique(np.round(votes, 9), return_inverse=True)
+    steps: list[list[float]] = []  # sum of votes, examples, toxic ones
+    for v, m, t in zip(values, np.bincount(same, n, len(values)), np.bincount(same, toxic, len(values)), strict=True):
+        steps.append([v * m, m, t])
+        while len(steps) > 1 and steps[-2][2] * steps[-1][1] >= steps[-1][2] * steps[-2][1]:
+            last = steps.pop()
+            steps[-1] = [a + b for a, b in zip(steps[-1], last, strict=True)]
+    if not steps:
+        return np.array([0.0, 1.0]), np.array([0.0, 1.0])
+    own = np.array(steps)
+    return own[:, 0] / own[:, 1], np.maximum.accumulate((own[:, 2] + base) / (own[:, 1] + 1))
+
+
+def _calibrated(index: Index, entries: list, k: int, prior: float) -> Index:
+    """``index`` with its calibration: each example's vote is that of all others."""
+    votes, n, toxic = [], [], []
+    for e, (_, many, bad, slots, weights) in enumerate(entries):
+        near = index.nearest(slots, weights, k + 1)
+        for label, m in ((1, bad), (0, many - bad)):
+            if m:
+                votes.append(index.vote(*near, k, prior, (e, label)))
+                n.append(m)
+                toxic.append(m * label)
+    steps = monotone(*(np.array(x, float) for x in (votes, n, toxic)), index.base)
+    return replace(index, votes=steps[0], chances=steps[1])
+
+
+def build_index(vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple[int, int, np.ndarray, np.ndarray]], k: int = 25, prior: float = 1.0) -> Index:
+    """``rows``: (id, label, slots, tf) of each labelled example; calibrated for votes of ``k`` examples."""
     groups: dict[bytes, list] = {}
     empty = [0, 0]
     for i, y, slots, tf in sorted(rows, key=lambda r: r[0]):
@@ -134,7 +186,8 @@ def build_index(vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple[int, i
             empty[1] += y
             continue
         w = (1 + np.log(tf)) * idf[slots]
-        own = groups.setdefault(slots.tobytes() + tf.tobytes(), [i, 0, 0, slots, w / np.sqrt((w * w).sum())])
+        w /= np.sqrt((w * w).sum())
+        own = groups.setdefault(slots.tobytes() + np.round(w, 12).tobytes(), [i, 0, 0, slots, w])
         own[1] += 1
         own[2] += y
     # entries with the same heaviest term next to each other: blocks have tight bounds
@@ -152,7 +205,9 @@ def build_index(vocabulary: np.ndarray, idf: np.ndarray, rows: list[tuple[int, i
     total = empty[0] + sum(g[1] for g in entries)
     toxic = empty[1] + sum(g[2] for g in entries)
     own = [np.array([g[i] for g in entries], np.int64) for i in (1, 2, 0)]
-    return Index(vocabulary, idf, cells, block, block_max, first, doc, weight, *own, (empty[0], empty[1]), (toxic + 0.5) / (total + 1))
+    plain = np.array([0.0, 1.0])
+    index = Index(vocabulary, idf, cells, block, block_max, first, doc, weight, *own, (empty[0], empty[1]), (toxic + 0.5) / (total + 1), plain, plain)
+    return _calibrated(index, entries, k, prior)
 
 
 def _slots(vocabulary: np.ndarray, known: np.ndarray, term: np.ndarray, row: np.ndarray, n: int):
@@ -172,10 +227,16 @@ def _known(vocabulary: np.ndarray) -> np.ndarray:
     return known
 
 
-def train(examples: DataFrame, *, least: float = 15.0) -> Index:
+def least_ratio(tests: int, level: float = LEVEL) -> float:
+    """The likelihood ratio that one of ``tests`` terms exceeds by chance with the probability ``level``, all together."""
+    return NormalDist().inv_cdf(level / max(tests, 1) / 2) ** 2
+
+
+def train(examples: DataFrame, *, level: float = LEVEL, k: int = 25, prior: float = 1.0) -> Index:
     """The index of ``examples`` (doc_id bigint, text, toxic int): a bounded number of rows, see :func:`sampled`.
 
-    Terms need a likelihood ratio of at least ``least``, be they typical of toxic or of other examples.
+    Terms are typical of toxic or of other examples at the significance ``level`` of the whole family of terms.
+    Without examples, or with one label only, no term is: all texts get the base rate.
     """
 
     def keyed(batches: Iterator):
@@ -215,7 +276,7 @@ def train(examples: DataFrame, *, least: float = 15.0) -> Index:
     size = single.groupBy("toxic").agg(F.count("*").alias("n")).collect()  # two rows
     all_n, toxic_n = sum(r["n"] for r in size), sum(r["n"] for r in size if r["toxic"])
     counts = single.select("doc_id", "text", "toxic").mapInArrow(counted, "term bigint, n bigint, toxic bigint")
-    counts = counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("a")).where("n >= 3")
+    counts = materialise(counts.groupBy("term").agg(F.sum("n").alias("n"), F.sum("toxic").alias("a")))
 
     def part(observed, expected):
         return F.when(observed > 0, observed * F.log(observed / expected)).otherwise(0.0)
@@ -228,7 +289,7 @@ def train(examples: DataFrame, *, least: float = 15.0) -> Index:
         + part(F.lit(toxic_n) - a, (F.lit(all_n) - n) * share)
         + part(F.lit(all_n - toxic_n) - (n - a), (F.lit(all_n) - n) * (1 - share))
     )
-    telling = counts.withColumn("ratio", ratio).where(F.col("ratio") >= least)
+    telling = counts.withColumn("ratio", ratio).where(F.col("ratio") >= least_ratio(counts.count(), level))
     chosen = sorted((np.int64(r["term"]).view(np.uint64), r["n"]) for r in telling.collect())  # a part of the sample's terms
     vocabulary = np.array([t for t, _ in chosen], np.uint64)
     idf = np.log((all_n + 1) / (np.array([n for _, n in chosen], float) + 1)) + 1
@@ -248,14 +309,17 @@ def train(examples: DataFrame, *, least: float = 15.0) -> Index:
     ids, labels = table["doc_id"].to_pylist(), table["toxic"].to_pylist()
     slots, tf = table["slots"].to_pylist(), table["tf"].to_pylist()
     examples_ = [(i, y, np.array(s, np.int64), np.array(t, np.int64)) for i, y, s, t in zip(ids, labels, slots, tf, strict=True)]
-    return build_index(vocabulary, idf, examples_)
+    release(rows, counts)
+    return build_index(vocabulary, idf, examples_, k, prior)
 
 
 def score(docs: DataFrame, index: Index, *, id_col: str = "doc_id", text_col: str = "text", k: int = 25, prior: float = 1.0) -> DataFrame:
     """One row per input row: doc_id, score (0 to 1), evidence (the nearest examples: id, cosine, toxic share).
 
     Texts that are null, empty or without a term of the vocabulary get the share of toxic ones among the
-    labelled examples that are so too.
+    labelled examples that are so too, and no evidence.  Repeated rows score alike; of equally near examples
+    those count that stand first in the index, an order that depends on the examples alone.  An empty table
+    gives no rows; ids may have any type or be null; other columns aren't read.
     """
     evidence = T.ArrayType(T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("cosine", T.DoubleType()), T.StructField("toxic", T.DoubleType())]))
     schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("score", T.DoubleType()), T.StructField("evidence", evidence)])
@@ -291,25 +355,27 @@ def held_out(id_col: str = "doc_id"):
 
 
 def sampled(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 20_000) -> DataFrame:
-    """Labelled documents (doc_id, text, toxic) to learn from.
+    """Labelled documents (doc_id, text, toxic) to learn from: one row per id.
 
-    ``sample`` bounds them: of more labels, those whose ids hash below a threshold that keeps about as many.
-    So the labels can be broadcast, and no text is shuffled.  An id with several labels has the largest; null
-    ids and labels are ignored.
+    ``sample`` is about how many there are: of more labels, those whose ids hash lowest.  So the labels can be
+    broadcast, and of the texts only theirs are shuffled.  An id with several labels has the largest, one with
+    several texts the first in their order; null ids and labels are ignored, null texts are empty.
     """
+    whole_ids(labels, id_col)
+    whole_ids(docs, id_col)
     own = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-    n = own.count()
-    if n > sample:
-        own = own.where(F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 20)) < int((1 << 20) * sample / n))
     own = own.groupBy(F.col(id_col).cast("bigint").alias("doc_id")).agg(F.max(F.col(label_col)).cast("int").alias("toxic"))
+    own = bounded_sample(own, sample, "doc_id")
     texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    return texts.join(F.broadcast(own), "doc_id")
+    return texts.join(F.broadcast(own), "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", sample: int = 20_000, k: int = 25) -> DataFrame:
-    """Learn from the labelled rows that are not held out, score all: doc_id, held_out, score, predicted, evidence."""
+    """Learn from the labelled rows that are not held out, score all: doc_id, held_out, score, predicted, evidence.
+
+    One row per row of ``docs``; see :func:`sampled` and :func:`score` for nulls, repeats, ties and empty tables.
+    """
     small_batches(docs.sparkSession)
     examples = sampled(docs, labels.where(~held_out(id_col)), id_col=id_col, text_col=text_col, label_col=label_col, sample=sample)
-    index = train(examples)
-    found = score(docs, index, id_col=id_col, text_col=text_col, k=k)
+    found = score(docs, train(examples, k=k), id_col=id_col, text_col=text_col, k=k)
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from siltworks.llm import automaton, exact_dedup, langid, licenses, lm_score, minhash, mixing, packing, queries, secrets, toxicity, vectors
+from siltworks.llm import automaton, common, exact_dedup, langid, licenses, lm_score, minhash, mixing, packing, queries, secrets, toxicity, vectors
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, score string, size int, n int, spans string"
@@ -205,8 +205,42 @@ def test_language(spark, docs, empty):
     odd = {r["doc_id"]: r["lang_pred"] for r in langid.identify(docs).collect()}
     assert [odd[i] for i in (40, 41, 42, 43)] == ["und"] * 4 and odd[44] != "und"
     assert langid.identify(empty).count() == 0
-    assert langid.drop_unidentified(docs).columns == docs.columns
-    assert langid.drop_unidentified(docs).count() == docs.count() - 4
+    kept = langid.in_a_language(docs)
+    assert kept.schema.names == docs.schema.names and langid.in_a_language(empty).count() == 0
+    want = sorted((str(r["doc_id"]), r["text"], r["spans"], odd[r["doc_id"]]) for r in docs.collect() if odd[r["doc_id"]] != "und")
+    assert sorted((str(r["doc_id"]), r["text"], r["spans"], r["lang"]) for r in kept.collect()) == want
+    only = langid.in_a_language(docs, wanted=["fr"], least=0.3).collect()
+    assert {r["lang"] for r in only} == {"fr"} and len(only) < len(want)
+
+
+def test_samples_are_never_empty(spark):
+    for n in (1, 10**3, 1 << 36, 1 << 60):
+        assert 0 < common.keep_below(20_000, n) <= common.HASHES
+    assert common.keep_below(20_000, 1 << 36) / common.HASHES == pytest.approx(20_000 / (1 << 36), rel=1e-3)
+    german = "der schatz und die zeit wege"
+    for rows in ([(i, german, "de") for i in range(300)], [(None, german, "de")] * 300, [(1, german, "de")] * 300):
+        df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+        model = langid.train(df, sample=20)
+        assert {r["lang_pred"] for r in langid.label(df, model).collect()} == {"de"}
+
+
+def test_scripts_go_by_code_point():
+    text = "Ա ա א \u0591 Ͱ α я \U00020000 x 漢".encode()
+    data = np.frombuffer(text + b" ", np.uint8)
+    words_ = langid.Features()(data)
+    assert [langid.NAMES[k] for k in words_[-1]] == ["armenian", "armenian", "hebrew", "hebrew", "greek", "greek", "cyrillic", "han", "latin", "han"]
+
+
+def test_long_texts_are_scored_in_segments():
+    rng = np.random.default_rng(2)
+    model = langid.Model(("a", "b", "c"), rng.random((3 * langid.SLOTS, 3)).astype(np.float32), np.ones((len(langid.NAMES), 3), bool))
+    text = " ".join("".join(rng.choice(list("abcdé漢"), rng.integers(1, 9))) for _ in range(3000)) + " "
+    data, features = np.frombuffer(text.encode(), np.uint8), langid.Features()
+    whole, parts = langid.scored(model, features, data), langid.scored(model, features, data, segment=100)
+    assert (whole[0] == parts[0]).all() and np.allclose(whole[1], parts[1])
+    assert np.allclose(whole[1], langid.word_scores(model, features(data)))
+    unbroken = np.frombuffer(("漢" * 500 + " ").encode(), np.uint8)
+    assert len(langid.scored(model, features, unbroken, segment=100)[0]) > 10
 
 
 def test_mixed_texts_get_spans(spark):
@@ -241,10 +275,10 @@ def test_copies_are_sampled_one_by_one(spark):
 
 def test_viterbi_is_exact():
     rng = np.random.default_rng(0)
-    for _ in range(300):
-        n = rng.integers(0, 9, 3)
+    for case in range(600):
+        n = rng.integers(0, 14, 3)
         begin = np.concatenate(([0], np.cumsum(n)))
-        e = rng.normal(0, 3, (int(begin[-1]), 3))
+        e = rng.normal(0, 3, (int(begin[-1]), 3)) if case % 2 else -rng.integers(0, 7, (int(begin[-1]), 3)).astype(float)
         path = langid.viterbi(e, begin, 5.0)
         for i in range(3):
             own, p = e[begin[i] : begin[i + 1]], path[begin[i] : begin[i + 1]]
@@ -321,6 +355,67 @@ def test_mostly_toxic_labels(spark):
     assert (out.evidence.str.len() > 0).all()
 
 
+def test_scores_by_brute_force(spark):
+    """Votes, calibration and scores from dense vectors of all terms that the index holds."""
+    rnd = random.Random(12)
+    rude, calm, filler = ["vile", "scum", "filth", "idiot", "vileness"], ["kindly", "garden", "thanks", "recipe"], [f"word{i}" for i in range(60)]
+    rows = []
+    for i in range(500):
+        bad = i % 3 == 0
+        own = [rnd.choice(rude if bad else calm) for _ in range(rnd.randint(0, 3))] + ([rnd.choice(calm + rude)] if rnd.random() < 0.3 else [])
+        rows.append((i, " ".join(own + [rnd.choice(filler) for _ in range(15)]), int(bad)))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    index = toxicity.train(toxicity.sampled(df, df), k=7)
+    find, known = toxicity.Terms(), toxicity._known(index.vocabulary)
+
+    def vector(text):
+        data = np.frombuffer(text.encode() + b" ", np.uint8)
+        ((slots, tf),) = toxicity._slots(index.vocabulary, known, *find(data, np.array([0, len(data)])), 1)
+        out = np.zeros(len(index.vocabulary))
+        if len(slots):
+            out[slots] = index.vector(slots, tf)
+        return out
+
+    dense, label = np.array([vector(t) for _, t, _ in rows]), np.array([y for *_, y in rows])
+    base = (label.sum() + 0.5) / (len(label) + 1)
+    order = {}  # entries stand in the index's order, their examples are one another's ties
+    for e, i in enumerate(index.ids):
+        order[np.round(dense[i], 12).tobytes()] = e
+
+    def vote(i, among):
+        cos = np.round(dense[among] @ dense[i], 12)
+        near = sorted((-c, order[np.round(dense[j], 12).tobytes()], j) for c, j in zip(cos, among, strict=True) if c > 0)
+        left, weight, total = 7, 1.0, base
+        for entry in dict.fromkeys(x[1] for x in near):
+            same = [x for x in near if x[1] == entry]
+            take = min(left, len(same))
+            left -= take
+            w = take * same[0][0] ** 2
+            weight, total = weight + w, total + w * np.mean([label[x[2]] for x in same])
+        return total / weight
+
+    full = [i for i in range(len(rows)) if dense[i].any()]
+    votes = np.array([vote(i, [j for j in full if j != i]) for i in full])
+    steps = []  # pooled by brute force: the largest of the least means
+    values = np.unique(np.round(votes, 9))
+    n = np.array([(np.abs(votes - v) < 1e-8).sum() for v in values])
+    t = np.array([label[np.array(full)[np.abs(votes - v) < 1e-8]].sum() for v in values])
+    for i in range(len(values)):
+        steps.append(max(min(t[a : b + 1].sum() / n[a : b + 1].sum() for b in range(i, len(values))) for a in range(i + 1)))
+    means = [(np.average(values[np.isclose(steps, s)], weights=n[np.isclose(steps, s)]), s, n[np.isclose(steps, s)].sum()) for s in sorted(set(np.round(steps, 12)))]
+    x, y = [m[0] for m in means], np.maximum.accumulate([(m[1] * m[2] + base) / (m[2] + 1) for m in means])
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(df, index, k=7).collect()}
+    empty_n, empty_bad = sum(not d.any() for d in dense), sum(int(y_) for d, y_ in zip(dense, label, strict=True) if not d.any())
+    for i in range(len(rows)):
+        want = np.interp(vote(i, full), x, y) if dense[i].any() else (empty_bad + base) / (empty_n + 1)
+        assert got[i] == pytest.approx(want, abs=1e-6), i
+
+
+def test_family_wise_level():
+    assert toxicity.least_ratio(1) == pytest.approx(3.8415, abs=1e-3)  # the quantile of chi square with one degree of freedom
+    assert 27 < toxicity.least_ratio(240_000) < 32 < toxicity.least_ratio(10**8) < 45
+
+
 def test_nearest_is_exact():
     rng = np.random.default_rng(7)
     vocabulary, idf = np.arange(40, dtype=np.uint64), rng.random(40) + 1
