@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, normalised
+from .common import materialise, normalised, parted, release
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -58,29 +58,25 @@ def exact_dedup(rows: DataFrame, candidates: int = 1024, counters: int = 8192) -
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with their own columns.
+    """The rows of ``docs`` that stay, with their own columns: of equal texts one row, the smallest id's.
 
-    Rows that repeat one id and one text are told apart only when there are any; just those are
-    regrouped with their texts.
+    A null id comes last, whatever the ids' type.  Of rows that repeat that id and text the one whose columns
+    come first as JSON stays, so reruns agree.  Only the ids of rows that go are looked for: a bitmap of them
+    lets most rows pass where they are read, and only the rest are hashed again and shuffled.
     """
     rows = digests(docs, id_col, text_col)
-    same = ["doc_id", "text_sha256"]
-    kept = exact_dedup(rows).where("kept").select(*same)
-    repeats = rows.groupBy(*same).agg(F.count("*").alias("_n"))
-    kept = materialise(kept.withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))))
-    repeats = repeats.where("_n > 1").withColumn("_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("null")))
-    full = docs.withColumns(
-        {
-            "_sw_id": F.coalesce(F.col(id_col).cast("string"), F.lit("null")),
-            "_sw_sha": F.sha2(normalised(F.col(text_col)).cast("binary"), 256),
-        }
-    )
-    keys = lambda t: t.select(F.col("_id").alias("_sw_id"), F.col("text_sha256").alias("_sw_sha"))
-    on = ["_sw_id", "_sw_sha"]
-    stay = full.join(keys(kept), on, "left_semi")
-    several = materialise(keys(repeats))
-    if several.isEmpty():
-        return stay.select(*docs.columns)
-    once = stay.join(several, on, "left_anti")
-    again = stay.join(several, on, "left_semi").dropDuplicates(on)
-    return once.unionByName(again).select(*docs.columns)
+    found = materialise(exact_dedup(rows))
+    release(rows)
+    removed = materialise(found.where("not kept").select(F.col("doc_id").alias("_sw_id")).distinct())
+    keep = found.where("kept").select(F.col("doc_id").alias("_sw_id"), F.col("text_sha256").alias("_sw_sha"))
+    tagged = docs.withColumn("_sw_id", F.col(f"`{id_col}`"))
+    maybe, sure = parted(tagged, "_sw_id", removed.where("_sw_id is not null"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    # rows that share an id with one that goes, or have none: told apart by their texts
+    unsure = maybe.unionByName(sure.where("_sw_id is null"))
+    unsure = unsure.withColumn("_sw_sha", F.sha2(normalised(F.col(f"`{text_col}`")).cast("binary"), 256))
+    same = F.col("_sw_id").eqNullSafe(F.col("_sw_other")) & (F.col("_sw_sha") == F.col("_sw_that"))
+    stay = unsure.join(keep.withColumnsRenamed({"_sw_id": "_sw_other", "_sw_sha": "_sw_that"}), same, "left_semi")
+    one = F.min_by(F.struct(*names), F.to_json(F.struct(*names), {"ignoreNullFields": "false"})).alias("_sw_row")
+    once = stay.groupBy("_sw_id", "_sw_sha").agg(one).select(*[F.col("_sw_row").getField(c).alias(c) for c in docs.columns])
+    return sure.where("_sw_id is not null").select(*names).unionByName(once)

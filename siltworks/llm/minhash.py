@@ -10,18 +10,21 @@ sets, so large groups of copies cost one comparison a member.  Classes of a buck
 different components are compared with one another, in blocks, by bitmaps of their sets: each bit in which
 two bitmaps differ proves an element that only one set has, so a pair with too many such bits is no link.
 The few pairs that are left are compared on full sets.  No link between classes that meet is lost.
+
+Sets are sets of 64-bit hashes of shingles; two shingles that collide would count as one.
 """
 
 from __future__ import annotations
 
 import functools
+import math
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Blocks, WordHasher, materialise, mix64, semi_join, shingles, small_batches, word_hashes
+from .common import Blocks, WordHasher, materialise, mix64, release, semi_join, shingles, small_batches, whole_ids, word_hashes
 from .components import components
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -60,6 +63,19 @@ def band_keys(signatures: np.ndarray, bands: int) -> np.ndarray:
     return out
 
 
+def banding(percent: int) -> tuple[int, int]:
+    """(bands, rows) that miss a link at ``percent`` once in 10**7 at most; from 80 on, 40 bands of 5."""
+    if not 1 <= percent <= 100:
+        raise ValueError("percent is a whole number from 1 to 100")
+    if percent >= 80:
+        return 40, 5
+    for rows in (4, 3, 2, 1):
+        bands = math.ceil(math.log(1e-7) / math.log(1 - (percent / 100) ** rows))
+        if bands <= 64 or rows == 1:
+            return bands, rows
+    raise AssertionError
+
+
 #: Rows of a block in which all pairs are compared by bitmaps; a bucket with more is split.
 BLOCK = 1024
 
@@ -71,6 +87,16 @@ def bitmap(s: np.ndarray) -> bytes:
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _plain(column) -> list:
+    """A column's values; of lists of keys, their bytes."""
+    import pyarrow as pa
+
+    if not pa.types.is_list(column.type):
+        return column.to_pylist()
+    flat = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    return [k.tobytes() for k in flat]
+
+
 def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """In how many bits the rows of ``y`` (uint64 words) differ from the row ``x``."""
     return np.bitwise_count(y ^ x).sum(1, dtype=np.int64)
@@ -79,15 +105,17 @@ def _far(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def _maybe(percent: int):
     """Rows sorted by (key, i, j) -> pairs of a group, in different components, that the bitmaps can't rule out."""
 
+    reach = 1 << math.ceil(math.log2(100 / percent))  # sets that are similar enough have bitmaps at most so many times as wide
+
     def pairs(t, ids, n, component, own, crossing, bands, maps):
         wide = np.array([len(m) for m in maps])
         for w in np.unique(wide):
             here = np.flatnonzero(wide == w)
-            near = np.flatnonzero((wide == w) | (wide == 2 * w))  # sets of twice the size can't be similar
-            words = np.array([np.frombuffer(maps[k], np.uint64) if wide[k] == w else np.bitwise_or(*np.frombuffer(maps[k], np.uint64).reshape(2, -1)) for k in near])
+            near = np.flatnonzero((wide >= w) & (wide <= reach * w))
+            words = np.array([np.bitwise_or.reduce(np.frombuffer(maps[k], np.uint64).reshape(wide[k] // w, -1)) for k in near])
             place = np.searchsorted(near, here)
             for k, at in zip(here, place, strict=True):
-                rest = np.flatnonzero((near > k) | (wide[near] == 2 * w))
+                rest = np.flatnonzero((near > k) | (wide[near] > w))
                 other = near[rest]
                 differ = (component[other] != component[k]) & (100 * np.minimum(n[other], n[k]) >= percent * np.maximum(n[other], n[k]))
                 if crossing:
@@ -111,7 +139,7 @@ def _maybe(percent: int):
             for a, b in zip(edge[:-1], edge[1:], strict=True):
                 if b - a > 1:
                     _, i, j, own, t, ids, n, component, keys, maps = zip(*rows[a:b], strict=True)
-                    bands = np.array([np.frombuffer(k, np.int32) for k in keys])
+                    bands = np.array([np.frombuffer(k, np.int64) for k in keys])
                     found.update(pairs(t[0], ids, np.array(n), np.array(component), np.array(own), i[0] != j[0], bands, maps))
             if found:
                 x, y = zip(*sorted(found), strict=True)
@@ -119,7 +147,7 @@ def _maybe(percent: int):
 
         held: list = []
         for batch in batches:
-            held += zip(*(batch.column(k).to_pylist() for k in range(10)), strict=True)
+            held += zip(*(_plain(batch.column(k)) for k in range(10)), strict=True)
             if held:
                 cut = len(held) - 1
                 while cut and held[cut - 1][:3] == held[-1][:3]:
@@ -133,8 +161,8 @@ def _maybe(percent: int):
 
 
 def features(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n (size of the set), f1 and f2 (128 bits that identify the set), keys (one per band; none if empty), short (32 bits of each key), bits."""
-    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>, short binary, bits binary"
+    """doc_id, n (size of the set), f1 and f2 (128 bits that identify the set), keys (one per band; none if empty), bits."""
+    schema = "doc_id bigint, n bigint, f1 bigint, f2 bigint, keys array<bigint>, bits binary"
 
     def run(batches: Iterator):
         import pyarrow as pa
@@ -154,11 +182,10 @@ def features(docs: DataFrame, id_col: str, text_col: str, words: int, bands: int
                     f.append(mix64(total[edge[1:]] - total[edge[:-1]] + n.astype(np.uint64)).view(np.int64))
                 keys = band_keys(super_minhash(s, row, size, bands * rows), bands).view(np.int64)
                 offsets = np.concatenate(([0], np.cumsum(np.where(n > 0, bands, 0)))).astype(np.int32)
-                short = pa.array([k.tobytes() if m else None for k, m in zip((keys >> 32).astype(np.int32), n, strict=True)], pa.binary())
                 keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys[n > 0].ravel()))
                 own = ids.slice(first, size).cast(pa.int64())
                 bits = pa.array([bitmap(s[a:b]) if b > a else None for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())
-                yield pa.RecordBatch.from_arrays([own, pa.array(n), pa.array(f[0]), pa.array(f[1]), keys, short, bits], names=["doc_id", "n", "f1", "f2", "keys", "short", "bits"])
+                yield pa.RecordBatch.from_arrays([own, pa.array(n), pa.array(f[0]), pa.array(f[1]), keys, bits], names=["doc_id", "n", "f1", "f2", "keys", "bits"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
@@ -212,18 +239,21 @@ def near_duplicates(
     text_col: str = "text",
     words: int = 5,
     percent: int = 80,
-    bands: int = 40,
-    rows: int = 5,
+    bands: int | None = None,
+    rows: int | None = None,
 ) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept.
 
     Two documents are linked if their sets of ``words``-word shingles overlap by at least ``percent`` % of
-    their union.  40 bands of 5 miss a link at 0.85 once in 10**10, at 0.80 once in 10**7.  Words are runs
-    of other characters than ASCII white space, with A-Z lower-cased.  Fewer words than a shingle make one
-    shingle; without words a document is linked with nothing.  Rows that share an id count as one document
-    with the links of all their texts; a null id gets the component of its set's smallest id, and is kept
-    if there is none.  An empty table gives no rows.
+    their union.  Without ``bands`` and ``rows`` they follow ``percent`` (:func:`banding`): 40 bands of 5 miss
+    a link at 0.85 once in 10**10, at 0.80 once in 10**7.  Words are runs of other characters than ASCII white
+    space, with A-Z lower-cased.  Fewer words than a shingle make one shingle; without words a document is
+    linked with nothing.  Ids are whole numbers.  Rows that share an id count as one document with the links
+    of all their texts; a null id gets the component of its set's smallest id, and is kept if there is none.
+    An empty table gives no rows; other columns aren't read.
     """
+    whole_ids(docs, id_col)
+    bands, rows = (bands, rows) if bands and rows else banding(percent)
     small_batches(docs.sparkSession)
     f = materialise(features(docs, id_col, text_col, words, bands, rows))
     sets = f.where("n > 0 and doc_id is not null")
@@ -251,11 +281,12 @@ def near_duplicates(
     named = named.select("key", F.least("_own", "_other").alias("i"), F.greatest("_own", "_other").alias("j"), "_own", "t", "id", "n", "component")
     named = materialise(named)
     ids = materialise(named.select(F.col("id").alias("doc_id")).distinct())
-    maps = semi_join(sets.select("doc_id", "n", "short", "bits"), "doc_id", ids).withColumnRenamed("doc_id", "id")
-    blocks = named.join(maps, ["id", "n"]).select("key", "i", "j", "_own", "t", "id", "n", "component", "short", "bits")
+    maps = semi_join(sets.select("doc_id", "n", "keys", "bits"), "doc_id", ids).withColumnRenamed("doc_id", "id")
+    blocks = named.join(maps, ["id", "n"]).select("key", "i", "j", "_own", "t", "id", "n", "component", "keys", "bits")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cross = blocks.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_maybe(percent), "a bigint, b bigint")
     cross = materialise(cross.where("a <> b").distinct().join(tried, ["a", "b"], "left_anti"))
+    release(member, named, ids, tried, tree)
 
     # rows that share an id tie their sets together
     several = sets.groupBy("doc_id").agg(F.count("*").alias("_n")).where("_n > 1").select("doc_id")
@@ -275,7 +306,14 @@ def near_duplicates(
 
 
 def drop_near_copies(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs``, with their own columns, that :func:`near_duplicates` keeps: one document of each group."""
-    found = near_duplicates(docs, id_col=id_col, text_col=text_col, **options)
+    """The rows of ``docs``, with their own columns, of the documents that :func:`near_duplicates` keeps: one of each group.
+
+    Rows that share an id are one document and stay or go together.  Rows with a null id are one document per
+    text, and come after all ids below 2**62 when it is settled which one stays.  Documents without words stay.
+    """
+    whole_ids(docs, id_col)
+    own = F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.shiftrightunsigned(F.xxhash64(F.col(f"`{text_col}`")), 2) + F.lit(1 << 62))
+    tagged = docs.withColumn("_sw_id", own)
+    found = near_duplicates(tagged, id_col="_sw_id", text_col=text_col, **options)
     kept = materialise(found.where("kept").select(F.col("doc_id").alias("_sw_id")).distinct())
-    return docs.join(kept, F.col(id_col).cast("bigint").eqNullSafe(F.col("_sw_id")), "left_semi")
+    return tagged.join(kept, "_sw_id", "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])

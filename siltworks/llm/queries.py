@@ -21,10 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: The curriculum: sources of the first kind fade out, of the second fade in, of the third peak half-way; the integrals are 1, 2, 3.
+CURRICULUM = (((0.0, 1.5), (1.0, 0.5)), ((0.0, 1.0), (1.0, 3.0)), ((0.0, 1.5), (0.5, 4.5), (1.0, 1.5)))
+
+
 def op1_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mixing.mix(table(spark, sf_dir, "documents"))
-    first = F.get("positions", F.lit(0)).alias("position")
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", first).orderBy("position", "doc_id")
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), cycle=CURRICULUM)
+    positions = [F.round(F.get("positions", F.lit(e)), 9).alias(f"position_{e + 1}") for e in range(3)]
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", *positions).orderBy("position_1", "doc_id")
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +126,20 @@ SELECT doc_id, t.license, count(*) / max(n.n) AS containment FROM d JOIN t ON d.
 GROUP BY doc_id, t.license HAVING count(*) / max(n.n) >= 0.8"""
 
 
+def _position_sql(epoch: int) -> str:
+    """The position of the documents' words in one epoch under ``CURRICULUM``, its integrals and their inverses written out."""
+    y = f"(CAST(pos + {epoch} * source_size AS DOUBLE) / quota)"
+    # shares of the demand met -> time, by kind of source: s - s^2 / 2, (s + s^2) / 2, and s / 2 + s^2 up to the middle
+    at = f"""CASE kind WHEN 0 THEN 2 * {y} / (1.5 + sqrt(greatest(2.25 - 2 * {y}, 0)))
+      WHEN 1 THEN 2 * {y} / (0.5 + sqrt(0.25 + 2 * {y}))
+      ELSE CASE WHEN {y} < 0.5 THEN 2 * {y} / (0.5 + sqrt(0.25 + 4 * {y}))
+        ELSE 0.5 + 2 * ({y} - 0.5) / (1.5 + sqrt(greatest(2.25 - 4 * ({y} - 0.5), 0))) END END"""
+    met = """(coalesce(q0, 0) * (1.5 * s - s * s / 2) + coalesce(q1, 0) * (s + s * s) / 2
+      + coalesce(q2, 0) * CASE WHEN s < 0.5 THEN s / 2 + s * s ELSE 0.5 + 1.5 * (s - 0.5) - (s - 0.5) * (s - 0.5) END)
+      / (coalesce(q0, 0) + coalesce(q1, 0) + coalesce(q2, 0))"""
+    return f"""CASE WHEN taken > {epoch} * size AND quota > pos + {epoch} * source_size THEN list_transform([{at}], lambda s: round({met}, 9))[1] END AS position_{epoch + 1}"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_licenses": _licenses_sql(),
     "op1_mix": r"""
@@ -132,15 +150,20 @@ w AS (SELECT *, CAST(rank % 3 + 1 AS DOUBLE) AS weight, 3 * source_size / CAST(r
 l AS (SELECT *, (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(sum(3 * source_size) OVER b, 0))
     / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS level FROM w
     WINDOW b AS (ORDER BY ratio, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-t AS (SELECT source, source_size, least(CAST(3 * source_size AS DOUBLE),
+t AS (SELECT source, source_size, rank % 3 AS kind, least(CAST(3 * source_size AS DOUBLE),
     (SELECT arg_min(level, (ratio, rank)) FROM l WHERE level <= ratio) * weight) AS target FROM l),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, CAST(floor(t.target + 0.5) AS BIGINT) AS quota,
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.kind, CAST(floor(t.target + 0.5) AS BIGINT) AS quota,
     sum(d.size) OVER (PARTITION BY d.source ORDER BY d.o, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - d.size AS pos
     FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
 k AS (SELECT *, greatest(0, least(size, quota - pos)) + greatest(0, least(size, quota - pos - source_size))
-    + greatest(0, least(size, quota - pos - 2 * source_size)) AS taken FROM p)
+    + greatest(0, least(size, quota - pos - 2 * source_size)) AS taken FROM p),
+q AS (SELECT sum(quota) FILTER (kind = 0) AS q0, sum(quota) FILTER (kind = 1) AS q1, sum(quota) FILTER (kind = 2) AS q2 FROM (
+    SELECT source, kind, floor(target + 0.5) AS quota FROM t) z)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(taken AS BIGINT) AS taken,
-    CASE WHEN taken > 0 THEN CAST(pos AS DOUBLE) / quota END AS position FROM k""",
+    """
+    + ", ".join(_position_sql(e) for e in range(3))
+    + """
+FROM k, q""",
     "op2_secrets": _secrets_sql(),
     "op6_minhash": r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),

@@ -157,10 +157,32 @@ def test_schedules_are_inverted(docs):
     assert order == sorted(order)
 
 
+def test_positions_are_training_progress(docs):
+    """At position x the share x of all words has been read, and the words read between two positions follow the schedules."""
+    cycle = (((0, 3), (0.25, 0), (1, 0)), ((0.5, 0), (1, 4)), 2)
+    rows = mixing.mix(docs, cycle=cycle).collect()
+    quota = {r["source"]: int(r["target"] + 0.5) for r in rows}
+    total = sum(quota.values())
+    order = sorted((p, str(r["doc_id"]), min(r["size"], r["taken"] - e * r["size"])) for r in rows for e, p in enumerate(r["positions"]))
+    read, longest = 0, max(n for *_, n in order)
+    for p, _, n in order:
+        assert abs(p * total - read) <= (len(quota) + 1) * longest
+        read += n
+    assert read == total
+    kinds = dict(zip(["s1", "s2", "é", None], [0, 1, 2, 0], strict=True))
+    assert [mixing.integrate(c if c != 2 else ((0, 2),))[0] for c in cycle] == pytest.approx([0.375, 1, 2])
+    steps = {s: [quota[x] * mixing.demand(cycle[kinds[x]] if kinds[x] != 2 else mixing.STEADY, [0, 0.25, 0.5])[k][0] for x in quota] for k, s in enumerate(("a", "b", "c"))}
+    starts = {k: sum(v) / total for k, v in steps.items()}
+    for r in rows:
+        for p in r["positions"]:
+            assert p <= starts["b"] + 1e-9 if kinds[r["source"]] == 0 else p >= starts["c"] - 1e-9 if kinds[r["source"]] == 1 else True
+
+
 def test_mixed_documents_repeat(docs):
     out = mixing.mixed_documents(docs)
     want = sorted((str(r["doc_id"]), len(r["positions"])) for r in mixing.mix(docs).where("taken > 0").collect())
-    assert out.columns == docs.columns and abs(out.count() - sum(n for _, n in want)) <= 4  # another order within sources
+    assert out.columns == docs.columns and out.count() == sum(n for _, n in want)
+    assert Counter(str(r["doc_id"]) for r in out.collect()) == Counter(i for i, n in want for _ in range(n))
 
 
 def test_secrets_match_regexes():
@@ -516,3 +538,66 @@ def test_empty_tables(spark, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed_documents(empty).count() == 0
     assert minhash.near_duplicates(empty).count() == 0 and minhash.drop_near_copies(empty).count() == 0
     assert vectors.near_vectors(spark.createDataFrame([], "vec_id bigint, embedding array<float>, label int")).count() == 0
+
+
+WIDE = "doc_id bigint, text string, extra string, source string, _part int, doc map<string,int>"
+
+
+@pytest.fixture(scope="module")
+def repeats(spark):
+    """Null ids, repeated ids, texts that repeat with other columns, a map column."""
+    rows = [
+        (5, "one two three four five six", "x", "s", 1, {"a": 1}),
+        (None, "one two three four five six", "x", "s", 1, None),
+        (None, "seven eight nine", "y", None, 2, {}),
+        (None, "seven eight  nine", "y", None, 2, {}),
+        (7, "seven eight nine", "p", "s", None, None),
+        (7, "seven eight nine", "q", "s", None, None),
+        (7, "another text of seven", "q", "s", None, None),
+        (8, "", "e", "s", None, None),
+        (9, None, "e", "s", None, None),
+        (None, "null", "n", "s", None, None),
+        (10, "null", "n", "s", None, None),
+    ]
+    return spark.createDataFrame(rows, WIDE).repartition(3)
+
+
+def test_exact_copies_of_odd_rows(spark, repeats):
+    out = sorted((str(r["doc_id"]), r["text"], r["extra"]) for r in exact_dedup.drop_exact_copies(repeats).collect())
+    assert out == sorted([("5", "one two three four five six", "x"), ("7", "seven eight nine", "p"), ("7", "another text of seven", "q"), ("8", "", "e"), ("10", "null", "n")])
+    texts_ = spark.createDataFrame([("null", "t"), (None, "t"), ("b", "t"), (None, "u"), (None, "u")], "doc_id string, text string")
+    assert sorted((str(r["doc_id"]), r["text"]) for r in exact_dedup.drop_exact_copies(texts_).collect()) == [("None", "u"), ("b", "t")]
+
+
+def test_near_copies_of_odd_rows(spark, repeats):
+    out = sorted((str(r["doc_id"]), r["text"], r["extra"]) for r in minhash.drop_near_copies(repeats, words=2).collect())
+    assert [x for x in out if x[0] == "None"] == [] and [x[0] for x in out if x[1] == "one two three four five six"] == ["5"]
+    assert sum(x[0] == "7" for x in out) == 3  # rows of one id are one document
+    null = spark.createDataFrame([(5, "a b c"), (None, "a b c"), (None, "d e f"), (None, "d e f")], "doc_id bigint, text string")
+    assert sorted((str(r[0]), r[1]) for r in minhash.drop_near_copies(null, words=2).collect()) == [("5", "a b c"), ("None", "d e f"), ("None", "d e f")]
+    for f in (minhash.near_duplicates, toxicity.toxicity):
+        with pytest.raises(TypeError):
+            f(*[null.withColumn("doc_id", F.lit("x"))] * (1 if f is minhash.near_duplicates else 2))
+
+
+def test_mixed_documents_of_odd_rows(spark):
+    rows = [(1, "a b", "s", "x", {"k": 1}), (1, "a b", "s", "y", {"k": 1}), (2, "c", "s", "z", None), (2, "c", "s", "z", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string, extra string, m map<string,int>")
+    out = mixing.mixed_documents(df)
+    assert out.schema == df.schema and sorted(r["extra"] for r in out.collect()) == ["x", "y", "z", "z"]
+
+
+@pytest.mark.parametrize("percent", [30, 60, 95])
+def test_thresholds(spark, percent):
+    rnd = random.Random(percent)
+    texts = []
+    for _ in range(12):
+        base = [str(rnd.randrange(10**6)) for _ in range(rnd.randint(20, 60))]
+        for _ in range(5):
+            w = base[: rnd.randint(len(base) // 4, len(base))]
+            texts.append(" ".join(w + [str(rnd.randrange(10**6)) for _ in range(rnd.randint(0, 4))]))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    _, root = similar(texts, range(len(texts)), 3, percent)
+    assert {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(df, words=3, percent=percent).collect()} == dict(enumerate(root))
+    bands, rows = minhash.banding(percent)
+    assert (1 - (percent / 100) ** rows) ** bands < 1.3e-7
