@@ -5,9 +5,9 @@ shingles.  A window is ``WINDOW`` consecutive shingles; windows of a text start
 those of a template at every one.  Each of ``BANDS`` bands is one minimum under its own permutation.  A
 verbatim passage has a window at most one shingle off a template's window, a resemblance of 3/5 or more, so
 that some band agrees with probability 1 - 0.4 ** 6 > 0.995; a longer passage has several such windows.
-Templates too short for a window are retrieved by their single shingles.  Passages around the windows that
-hit are then compared shingle by shingle: a template is reported when a passage contains at least 0.8 of
-its distinct shingles.  The scan is one generated loop over the windows; no text is shuffled.
+Templates too short for a window are retrieved by their single shingles.  The texts with hits, and those only,
+are read again and compared shingle by shingle: a template is reported when a text contains at least 0.8 of
+its distinct shingles.  The scan is one generated loop over the windows; no text without a hit is shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import materialise, semi_join
+
 WORDS = 5
 WINDOW = 4
 STRIDE = 2
@@ -62,6 +64,90 @@ TEMPLATES = {
     ),
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
+    "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "GPL-2.0-header": (
+        "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by "
+        "the Free Software Foundation; either version 2 of the License, or (at your option) any later version. "
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details."
+    ),
+    "LGPL-3.0-header": (
+        "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
+        "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "AGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by "
+        "the Free Software Foundation, either version 3 of the License, or (at your option) any later version. "
+        "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "MIT-full": (
+        'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), '
+        "to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, "
+        "and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: "
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+        'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, '
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER "
+        "LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE."
+    ),
+    "ISC-full": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+        "provided that the above copyright notice and this permission notice appear in all copies. "
+        'THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF '
+        "MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES "
+        "WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN "
+        "CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
+    ),
+    "BSD-2-Clause-full": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE '
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSD-3-Clause-full": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+        "1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. "
+        "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+        "documentation and/or other materials provided with the distribution. "
+        "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission. "
+        'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE '
+        "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE "
+        "LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE "
+        "GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT "
+        "LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "Zlib-full": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from "
+        "the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and "
+        "redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you "
+        "wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not "
+        "required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. "
+        "3. This notice may not be removed or altered from any source distribution."
+    ),
+    "BSL-1.0-full": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by "
+        'this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the '
+        "Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright notices in the Software "
+        "and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the "
+        "Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of "
+        "machine-executable object code generated by a source language processor."
+    ),
+    "Unlicense-full": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this "
+        "software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that "
+        "recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make "
+        "this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of "
+        "relinquishment in perpetuity of all present and future rights to this software under copyright law."
+    ),
 }
 
 
@@ -70,6 +156,11 @@ def _words(text):
     return F.split(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "^[^a-z0-9]+", ""), "[^a-z0-9]+")
 
 
+def _size(words: str):
+    """How many words there are: the array may end in an empty one."""
+    return F.size(words) - F.when(F.element_at(words, -1) == "", 1).otherwise(0)
+
+
 def _hash(words, i):
     """The hash of the shingle that starts at the word ``i`` (from 0)."""
     return F.xxhash64(*[F.get(words, i + j) for j in range(WORDS)])
@@ -103,38 +194,43 @@ def templates(spark: SparkSession, texts: Mapping[str, str]) -> tuple[DataFrame,
 
 
 def scan(docs: DataFrame, *, texts: Mapping[str, str] = TEMPLATES, id_col: str = "doc_id", text_col: str = "text", least: float = 0.8) -> DataFrame:
-    """One row per document and license: doc_id, license, containment, passage (its first words).
+    """One row per document and license: doc_id, license, containment, passage (its words from the first to the last window that hit).
 
-    ``containment`` is the largest share of the template's distinct shingles in a passage.  Null texts and
-    texts of fewer than five words have no licenses; rows that share an id are one document.
+    ``containment`` is the share of the template's distinct shingles that a text holds.  Null texts and texts of
+    fewer than five words have no licenses.  Rows that share an id are one document, those without an id are
+    one too: it has the largest containment of its texts.  An empty table gives no rows; other columns aren't read.
     """
-    spark = docs.sparkSession
-    own, bands = templates(spark, texts)
-    rows = bands.collect()  # as many as the templates' windows and bands
+    own, bands = templates(docs.sparkSession, texts)
+    rows = bands.collect()  # as many as the templates' windows and bands, as the plan's literals are
     values = {k: [r["value"] for r in rows if r["band"] == k] for k in range(-1, BANDS)}
-    reach = max(len(re.findall("[a-z0-9]+", t.lower())) for t in texts.values()) + 2 * WINDOW
-    words = docs.select(F.col(id_col).alias("doc_id"), _words(F.col(text_col)).alias("w"))
-    words = words.withColumn("n", F.size("w") - F.when(F.element_at("w", -1) == "", 1).otherwise(0)).where(F.col("n") >= WORDS)
+    bands = docs.sparkSession.createDataFrame(rows, bands.schema)
+    docs = docs.select(F.coalesce(F.concat(F.lit("="), F.col(f"`{id_col}`").cast("string")), F.lit("")).alias("key"), F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    long = F.col("n") >= WORDS
+    words = docs.select("key", _words(F.col("text")).alias("w")).withColumn("n", _size("w")).where(long)
     # windows that reach beyond the text hold fewer shingles
-    at = words.select("doc_id", "w", "n", F.explode(F.sequence(F.lit(0), F.col("n") - WORDS, F.lit(STRIDE))).alias("i"))
+    at = words.select("key", "w", "n", F.explode(F.sequence(F.lit(0), F.col("n") - WORDS, F.lit(STRIDE))).alias("i"))
     w, i, n = F.col("w"), F.col("i"), F.col("n")
     hashes = [F.when(i + k + WORDS <= n, _hash(w, i + k)) for k in range(WINDOW)]
     # the row number keeps the filter from being pushed below, where each hash would be computed for every test
-    hashed = at.select("doc_id", "w", "n", "i", F.monotonically_increasing_id().alias("row"), *[h.alias(f"h{k}") for k, h in enumerate(hashes)])
-    hashes = [F.col(f"h{k}") for k in range(WINDOW)]
-    found = _bands(hashes)
-    hits = [found[k].isin(values[k]) for k in range(BANDS) if values[k]]
-    hits += [h.isin(values[-1]) for h in hashes[:STRIDE] if values[-1]]
-    window = hashed.where(reduce(lambda a, b: a | b, hits, F.lit(False)) & (F.col("row") >= 0))
-    keys = [F.struct(F.lit(k).alias("band"), v.alias("value")) for k, v in enumerate(found)]
-    keys += [F.struct(F.lit(-1).alias("band"), h.alias("value")) for h in hashes[:STRIDE]]
-    begin = F.greatest(i - reach, F.lit(0))
-    passage = F.slice(w, begin + 1, F.least(n - begin, F.lit(2 * reach)))
-    window = window.select("doc_id", passage.alias("passage"), F.explode(F.array(*keys)).alias("b")).select("doc_id", "passage", "b.band", "b.value")
-    maybe = window.join(F.broadcast(bands), ["band", "value"]).select("doc_id", "passage", "license").distinct()
-    maybe = maybe.join(F.broadcast(own), "license")
-    share = F.size(F.array_intersect("shingles", _shingles(F.col("passage")))) / F.col("n")
-    maybe = maybe.withColumn("containment", share).where(F.col("containment") >= least)
-    best = F.max_by("passage", F.struct("containment", F.size("passage")))
-    out = maybe.groupBy("doc_id", "license").agg(F.max("containment").alias("containment"), best.alias("passage"))
-    return out.withColumn("passage", F.concat_ws(" ", "passage"))
+    hashed = at.select("key", "i", F.monotonically_increasing_id().alias("row"), *[h.alias(f"h{k}") for k, h in enumerate(hashes)])
+    found = _bands([F.col(f"h{k}") for k in range(WINDOW)])
+    tagged = hashed.select("key", "i", "row", *[f"h{k}" for k in range(STRIDE)], *[v.alias(f"b{k}") for k, v in enumerate(found)])
+    listed = lambda c, k: F.expr(f"{c} IN ({', '.join(f'{v}L' if v > -(1 << 63) else '(-9223372036854775807L - 1L)' for v in values[k])})")
+    hits = [listed(f"b{k}", k) for k in range(BANDS) if values[k]]
+    hits += [listed(f"h{k}", -1) for k in range(STRIDE) if values[-1]]
+    window = tagged.where(reduce(lambda a, b: a | b, hits, F.lit(False)) & (F.col("row") >= 0))
+    keys = [F.struct(F.lit(k).alias("band"), F.col(f"b{k}").alias("value")) for k in range(BANDS)]
+    keys += [F.struct(F.lit(-1).alias("band"), F.col(f"h{k}").alias("value")) for k in range(STRIDE)]
+    window = window.select("key", "i", F.explode(F.array(*keys)).alias("b")).select("key", "i", "b.band", "b.value")
+    # the templates are parameters of the plan
+    maybe = window.join(F.broadcast(bands), ["band", "value"]).groupBy("key", "license").agg(F.min("i").alias("first"), F.max("i").alias("last"))
+    maybe = materialise(maybe)
+    ids = materialise(maybe.select("key").distinct())
+    whole = semi_join(docs, "key", ids).select("key", "doc_id", _words(F.col("text")).alias("w")).withColumn("n", _size("w")).where(long)
+    whole = whole.select("key", "doc_id", F.slice("w", F.lit(1), F.col("n")).alias("w"))
+    both = whole.join(maybe, "key").join(F.broadcast(own), "license")
+    share = F.size(F.array_intersect("shingles", _shingles(F.col("w")))) / F.col("n")
+    passage = F.slice("w", F.col("first") + 1, F.col("last") - F.col("first") + STRIDE + WINDOW + WORDS)
+    both = both.withColumn("containment", share).where(F.col("containment") >= least).withColumn("passage", passage)
+    out = both.groupBy("key", "license").agg(F.first("doc_id").alias("doc_id"), F.max("containment").alias("containment"), F.max_by("passage", F.struct("containment", F.size("passage"), "passage")).alias("passage"))
+    return out.select("doc_id", "license", "containment", F.concat_ws(" ", "passage").alias("passage"))

@@ -10,9 +10,11 @@ the key space.  A part adds up what the blocks say and answers each with the cor
 keys.  The block, which computes the same keys again, then scores its documents.  So blocks and parts bound what
 a task holds, their numbers grow with the corpus, and the driver sees three sums only.
 
-With c the counts, N their sums over words, b the background, t the target and s = N_t / N_b (at most 1):
+A document is scored by what all others say: its own words and pairs are taken out of both models' counts and
+sums.  With c the counts left, N their sums over words, b the background, t the target, U the number of words
+that a vocabulary is taken to have (``types``) and s = N_t / N_b (at most 1):
 
-    p_b(w) = c_b(w) / N_b                             p_t(w) = (c_t(w) + prior * p_b(w)) / (N_t + prior)
+    p_b(w) = (c_b(w) + 1/2) / (N_b + U/2)             p_t(w) = (c_t(w) + prior * p_b(w)) / (N_t + prior)
     p_b(w|v) = (s c_b(v,w) + weight * p_b(w)) / (s c_b(v) + weight), and likewise p_t(w|v), without s
 
 The background is scaled to the target's size, so that the same smoothing weighs the same in both.  A word that
@@ -31,7 +33,7 @@ from pyspark.sql import functions as F
 from .common import Blocks, WordHasher, mix64, n_words, small_batches, word_hashes
 
 #: Bytes of text of a block, and words of the corpus for each part of the key space.
-BLOCK = 1 << 24
+BLOCK = 1 << 23
 PART = 1 << 21
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
@@ -51,12 +53,12 @@ def _words(texts) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(keys), np.concatenate(rows)
 
 
-def _planes(keys: np.ndarray) -> bytes:
-    """Sorted keys byte by byte, the highest of all first: these repeat and so compress."""
-    return np.ascontiguousarray(keys.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+def _planes(x: np.ndarray) -> bytes:
+    """Whole numbers byte by byte, the highest of all first: those of sorted keys and of counts repeat and so compress."""
+    return np.ascontiguousarray(x.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
 
 
-def _keys(planes: bytes) -> np.ndarray:
+def _whole(planes: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
 
 
@@ -74,15 +76,14 @@ def _ask(parts: int):
         of_target = np.concatenate((of_target, of_target[1:][inner]))
         keys, n = np.unique(items, return_counts=True)
         some, m = np.unique(items[of_target], return_counts=True)
-        t = np.zeros(len(keys), np.uint32)
+        t = np.zeros(len(keys), np.int64)
         t[np.searchsorted(keys, some)] = m
-        n = n.astype(np.uint32)
         part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
         held, begin = np.unique(part, return_index=True)
         cut = [slice(a, b) for a, b in zip(begin, [*begin[1:], len(keys)])]
         block = pa.array(np.full(len(held), docs["block"][0].as_py() if len(held) else 0, np.int64))
         columns = [block, pa.array(held)]
-        columns += [pa.array([f(x[c]) for c in cut], pa.binary()) for f, x in ((_planes, keys), (np.ndarray.tobytes, n), (np.ndarray.tobytes, t))]
+        columns += [pa.array([_planes(x[c]) for c in cut], pa.binary()) for x in (keys, n, t)]
         return pa.Table.from_arrays(columns, names=["block", "part", "keys", "n", "t"])
 
     return run
@@ -92,40 +93,51 @@ def _answer(asked):
     """The corpus's counts for each block's keys in one part, in the order of the keys."""
     import pyarrow as pa
 
-    lists = [_keys(k) for k in asked["keys"].to_pylist()]
+    lists = [_whole(k.as_py()) for k in asked["keys"]]
     ends = np.cumsum([len(k) for k in lists])[:-1]
-    _, at = np.unique(np.concatenate(lists), return_inverse=True)
+    lists = np.concatenate(lists)
+    _, at = np.unique(lists, return_inverse=True)
     out = []
     for name in ("n", "t"):
-        own = np.frombuffer(b"".join(asked[name].to_pylist()), np.uint32)
-        total = np.bincount(at, own).astype(np.float32)[at]
-        out.append(pa.array([x.tobytes() for x in np.split(total, ends)], pa.binary()))
+        total = np.bincount(at, np.concatenate([_whole(x.as_py()) for x in asked[name]])).astype(np.int64)  # exact below 2**53
+        out.append(pa.array([_planes(x) for x in np.split(total[at], ends)], pa.binary()))
     return pa.Table.from_arrays([asked["block"], asked["part"], *out], names=["block", "part", "n", "t"])
 
 
-def _score(schema, n_background: int, n_target: int, least: int, weight: float, prior: float):
-    """The scores of a block's documents, from the corpus's counts of its keys."""
+def _score(schema, n_background: int, n_target: int, least: int, weight: float, prior: float, types: float):
+    """The scores of a block's documents, from the corpus's counts of its keys less each document's own."""
 
-    def run(docs, answers):
+    def run(docs, told):
         import pyarrow as pa
+        import pyarrow.compute as pc
 
         rows = len(docs)
+        answers, targets = told.filter(pc.is_valid(told["part"])), told.filter(pc.is_null(told["part"]))["target"]
         h, row = _words(docs["text"])
         size = np.bincount(row, minlength=rows)
+        of_target = pc.is_in(docs["doc_id"], targets).to_numpy(zero_copy_only=False).astype(bool)
         means = [np.zeros(rows), np.zeros(rows)]
         if len(h):
             inner = np.concatenate(([False], row[1:] == row[:-1]))
             pairs = pair_keys(h[:-1], h[1:])[inner[1:]]
             _, at = np.unique(np.concatenate((h, pairs)), return_inverse=True)
-            word, pair = at[: len(h)], at[len(h) :]
+            of = np.concatenate((row, row[inner]))
+            # how often each document has each of its items itself
+            _, same, own = np.unique(at * rows + of, return_inverse=True, return_counts=True)
+            own = own[same]
+            del same
             answers = answers.sort_by("part")
-            n, t = (np.frombuffer(b"".join(answers[c].to_pylist()), np.float32).astype(float) for c in ("n", "t"))
-            background = n[word] / n_background
-            target = np.where(n[word] < least, background, (t[word] + prior * background) / (n_target + prior))
-            scale = min(1.0, n_target / n_background) if n_target else 1.0
-            before = word[:-1][inner[1:]]
-            for k, (p, c, s) in enumerate(((target, t, 1.0), (background, n, scale))):
-                p[inner] = (s * c[pair] + weight * p[inner]) / (s * c[before] + weight)
+            n, t = (np.concatenate([_whole(x.as_py()) for x in answers[c]]).astype(float)[at] for c in ("n", "t"))
+            n -= own
+            t -= own * of_target[of]
+            left, left_t = n_background - size[row], n_target - (size * of_target)[row]
+            words, before = slice(0, len(h)), np.flatnonzero(inner) - 1
+            background = (n[words] + 0.5) / (left + types / 2)
+            target = np.where(n[words] < least, background, (t[words] + prior * background) / (left_t + prior))
+            scale = np.minimum(1.0, left_t / np.maximum(left, 1)) if n_target else np.ones(len(h))
+            for k, (p, c, s) in enumerate(((target, t, np.ones(len(h))), (background, n, scale))):
+                s = s[inner]
+                p[inner] = (s * c[len(h) :] + weight * p[inner]) / (s * c[before] + weight)
                 means[k] = np.bincount(row, -np.log(p), rows) / np.maximum(size, 1)
         figures = [pa.array(x, pa.float64(), mask=size == 0) for x in (*means, means[0] - means[1])]
         return pa.Table.from_arrays([docs["doc_id"], pa.array(size.astype(np.int64)), *figures], names=schema)
@@ -134,14 +146,15 @@ def _score(schema, n_background: int, n_target: int, least: int, weight: float,
 
 
 def cross_entropy_difference(
-    docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 2, weight: float = 10.0, prior: float = 1000.0
+    docs: DataFrame, targets: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", least: int = 2, weight: float = 10.0, prior: float = 1000.0, types: float = 1 << 20
 ) -> DataFrame:
     """Score all ``docs`` by how they are like those whose ids are in ``targets``.
 
     One row per input row: doc_id, n_words, ce_target, ce_background, score.  Words are runs of other characters
     than ASCII white space, with A-Z lower-cased.  Texts without words, null ones too, have nulls for the three
-    figures.  Null ids are no targets; repeated rows count and are scored each; other columns aren't read.
-    Without targets both models are alike but for the contexts, and all documents are still scored.
+    figures.  Null ids are no targets; repeated rows count and are scored each, as copies of one another; other
+    columns aren't read.  Without targets both models are alike but for the contexts, and all documents are
+    still scored.  An empty table gives no rows.
     """
     small_batches(docs.sparkSession)
     ids = targets.select(F.col(id_col).alias("doc_id")).where("doc_id is not null").distinct()
@@ -155,10 +168,13 @@ def cross_entropy_difference(
         return df.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks))).groupBy("block")
 
     rows = dealt(rows, F.coalesce(F.col("doc_id").cast("string"), F.md5(F.col("text").cast("binary"))))
+    block = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(blocks)).alias("block")
+    known = ids.select(block, F.col("doc_id").alias("target"))
     ids = dealt(ids, F.col("doc_id").cast("string"))
     asked = rows.cogroup(ids).applyInArrow(_ask(parts), "block bigint, part bigint, keys binary, n binary, t binary")
     answers = asked.groupBy("part").applyInArrow(_answer, "block bigint, part bigint, n binary, t binary")
     names = ["doc_id", "n_words", "ce_target", "ce_background", "score"]
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words bigint, ce_target double, ce_background double, score double"
-    score = _score(names, n_background, n_target, least, weight, prior)
-    return rows.cogroup(answers.groupBy("block")).applyInArrow(score, schema)
+    score = _score(names, n_background, n_target, least, weight, prior, types)
+    told = answers.unionByName(known, allowMissingColumns=True)  # what a block is told: counts, and which ids are targets
+    return rows.cogroup(told.groupBy("block")).applyInArrow(score, schema)

@@ -1,10 +1,10 @@
 """Packing documents into sequences of at most ``capacity`` tokens.
 
 Documents are tokenised and cut into pieces; the plan is made on the histogram of piece lengths, which has
-at most ``capacity`` entries whatever the input.  Exact-complement hashing: from the longest length down, a
-piece's gap is looked up among single lengths, then sums of two, then sums of three, and as many sequences
-as the counts allow are filled exactly at once.  What can't be completed exactly is packed best-fit
-decreasing, again by counts.  A piece finds its place from its rank among the pieces of its length; ranks
+at most ``capacity`` entries whatever the input.  Exact-complement hashing: the lengths that occur, their sums
+of two and their sums of three are indexed by the sum.  From the longest length down, a piece's gap is looked
+up among single lengths, then pairs, then triples, and as many sequences as the counts allow are filled
+exactly at once.  What can't be completed exactly is packed best-fit decreasing, again by counts.  A piece finds its place from its rank among the pieces of its length; ranks
 are prefix sums in two levels, so a length that a third of all pieces share is still spread over many tasks.
 """
 
@@ -29,17 +29,46 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+def _own_tokenizer(path: str):
+    @functools.lru_cache(1)
+    def load():
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(path)
+
+    return lambda text: load().encode(text, add_special_tokens=False).ids
+
+
+def is_plain(spec: dict) -> bool:
+    """Whether a tokenizer file does nothing but split as byte-level BPE does and merge in the order of its vocabulary."""
+    model, split = spec["model"], spec.get("pre_tokenizer") or {}
+    if model.get("type") != "BPE" or spec.get("normalizer") or any(model.get(x) for x in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges")):
+        return False
+    if split.get("type") != "ByteLevel" or split.get("add_prefix_space", True) or not split.get("use_regex", True):
+        return False
+    if any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in spec.get("added_tokens", [])):
+        return False
+    merged = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in model["merges"]]
+    ids = [model["vocab"].get(m, -1) for m in merged]
+    special = {t["content"] for t in spec.get("added_tokens", [])}
+    single = [i for t, i in model["vocab"].items() if len(t) == 1 and t not in special]
+    return len(single) == 256 and max(single) < min(ids, default=1 << 60) and all(a < b for a, b in zip(ids, ids[1:], strict=False))
+
+
 @functools.lru_cache(4)
 def encoder(path: str):
     """text -> ids of the byte-level BPE tokenizer in the JSON file ``path``.
 
-    The vocabulary's order is the order of the merges, so the same vocabulary serves as ranks for a faster
-    encoder; a text that this one can't take goes through the file's own tokenizer.
+    Where the file is a plain byte-level BPE whose vocabulary stands in the order of its merges, the vocabulary
+    serves as ranks for a faster encoder; a text that this one can't take, and any other file, goes through
+    the file's own tokenizer.
     """
     import tiktoken
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
+    if not is_plain(spec):
+        return _own_tokenizer(path)
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     own = _byte_of_char()
     ranks = {bytes(own[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
@@ -48,10 +77,7 @@ def encoder(path: str):
     fast = tiktoken.Encoding("bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     names = tuple(special)
 
-    def slow(text: str) -> list[int]:
-        from tokenizers import Tokenizer
-
-        return Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    slow = _own_tokenizer(path)
 
     def encode(text: str) -> list[int]:
         try:
@@ -107,56 +133,62 @@ def pieces(docs: DataFrame, tokenizer: str, *, id_col: str = "doc_id", text_col:
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-class Complements:
-    """Lengths, and sums of two and three of them, that exactly fill a gap under the counts that are left.
+class Sums:
+    """Lengths, pairs and triples of lengths by their sum, as far as the counts last.
 
-    Counts only fall, so each sum keeps the place in its list of pairs up to which none is left.
+    A triple is held as its longest length, the other two being a pair of the rest's sum.  Counts only fall,
+    so what has run out at the end of a list is dropped from it for good.
     """
 
     def __init__(self, counts: np.ndarray) -> None:
         self.counts = counts
-        self._next: dict[int, int] = {}
+        self.singles = {int(x): (int(x),) for x in np.flatnonzero(counts)}
+        held = np.fromiter(self.singles, np.int64, len(self.singles))
+        self.pairs: dict[int, list[tuple[int, int]]] = {}
+        self.triples: dict[int, list[int]] = {}
+        least: dict[int, int] = {}  # the longer length of the most even pair of each sum
+        for total in range(2, len(counts)):
+            big = held[(2 * held >= total) & (held < total)]
+            big = big[counts[total - big] > 0]
+            if len(big):
+                self.pairs[total] = list(zip(big.tolist(), (total - big).tolist(), strict=True))
+                least[total] = int(big[0])
+        even = np.full(len(counts), len(counts))
+        even[list(least)] = list(least.values())
+        for total in range(3, len(counts)):
+            top = held[(3 * held >= total) & (held < total - 1)]
+            top = top[even[total - top] <= top]
+            if len(top):
+                self.triples[total] = top.tolist()
 
     def _has(self, *lengths: int) -> bool:
         return all(self.counts[x] >= lengths.count(x) for x in lengths)
 
-    def single(self, gap: int, top: int) -> tuple[int, ...] | None:
-        return (gap,) if gap <= top and self._has(top, gap) else None
-
-    def pair(self, gap: int, top: int) -> tuple[int, ...] | None:
-        big = min(self._next.get(gap, gap - 1), gap - 1)
-        while 2 * big >= gap:
-            if self.counts[big] and self.counts[gap - big]:
-                if big <= top and self._has(top, big, gap - big):
-                    self._next[gap] = big
-                    return (big, gap - big)
-                if big > top or big == top or gap - big in (big, top):  # this leader can't, another might
-                    rest = big - 1
-                    while 2 * rest >= gap:
-                        if rest <= top and self._has(top, rest, gap - rest):
-                            return (rest, gap - rest)
-                        rest -= 1
-                    return None
-            big -= 1
-            self._next[gap] = big
-        return None
-
-    def triple(self, gap: int, top: int) -> tuple[int, ...] | None:
-        for big in range(min(top, gap - 2), 0, -1):
-            if self.counts[big] and 3 * big >= gap:
-                rest = gap - big
-                low = np.arange(1, rest // 2 + 1)
-                both = np.flatnonzero((self.counts[low] > 0) & (self.counts[rest - low] > 0) & (rest - low <= big))
-                for d in low[both][::-1]:
-                    if self._has(top, big, int(rest - d), int(d)):
-                        return (big, int(rest - d), int(d))
+    def single(self, gap: int, *taken: int) -> tuple[int, ...] | None:
+        return self.singles.get(gap) if gap <= taken[-1] and self._has(*taken, gap) else None
+
+    def pair(self, gap: int, *taken: int) -> tuple[int, ...] | None:
+        """The most uneven pair with the sum ``gap``, of lengths up to the last of those ``taken``."""
+        own = self.pairs.get(gap, [])
+        while own and not (self.counts[own[-1][0]] and self.counts[own[-1][1]]):
+            own.pop()
+        return next((p for p in reversed(own) if p[0] <= taken[-1] and self._has(*taken, *p)), None)
+
+    def triple(self, gap: int, *taken: int) -> tuple[int, ...] | None:
+        own = self.triples.get(gap, [])
+        while own and not self.counts[own[-1]]:
+            own.pop()
+        for top in reversed(own):
+            if top <= taken[-1] and self._has(*taken, top) and (rest := self.pair(gap - top, *taken, top)):
+                return (top, *rest)
         return None
 
 
 def plan(counts: np.ndarray, capacity: int = 1024) -> list[tuple[tuple[int, ...], int]]:
     """Patterns of lengths with how many sequences follow each; together they use up ``counts``.
 
-    Planned with sums of up to one, two and three lengths; the plan with the fewest sequences is returned.
+    The index is consumed up to triples, up to pairs and with single lengths only: using up short lengths early
+    can cost the best fit of the rest more than it gains, so the plan with the fewest sequences is returned.
     """
     return min((_plan(counts, capacity, depth) for depth in (3, 2, 1)), key=lambda p: sum(n for _, n in p))
 
@@ -167,21 +199,16 @@ def _plan(counts: np.ndarray, capacity: int, depth: int) -> list[tuple[tuple[int
     if counts[capacity]:
         patterns.append(((capacity,), int(counts[capacity])))
         counts[capacity] = 0
-    exact = Complements(counts)
-    residual = np.zeros_like(counts)
-    for top in range(capacity - 1, 0, -1):
-        while counts[top]:
-            gap = capacity - top
-            found = exact.single(gap, top) or (depth > 1 and exact.pair(gap, top)) or (depth > 2 and exact.triple(gap, top))
-            if not found:
-                residual[top], counts[top] = counts[top], 0
-                break
-            pattern = (top, *found)
-            n = min(int(counts[x]) // pattern.count(x) for x in set(pattern))
-            for x in pattern:
-                counts[x] -= n
-            patterns.append((pattern, n))
-    return patterns + _best_fit(residual, capacity)
+    sums = Sums(counts)
+    for find in (sums.single, sums.pair, sums.triple)[:depth]:
+        for top in range(capacity - 1, 0, -1):
+            while counts[top] and (found := find(capacity - top, top)):
+                pattern = (top, *found)
+                n = min(int(counts[x]) // pattern.count(x) for x in set(pattern))
+                for x in pattern:
+                    counts[x] -= n
+                patterns.append((pattern, n))
+    return patterns + _best_fit(counts, capacity)
 
 
 def _best_fit(counts: np.ndarray, capacity: int) -> list[tuple[tuple[int, ...], int]]:
@@ -265,7 +292,11 @@ def pack(table: DataFrame, capacity: int = 1024) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, *, capacity: int = 1024, end_id: int = 2, with_ids: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Tokenise, cut and pack: the rows of :func:`pieces` with ``sequence_id`` and ``offset``."""
+    """Tokenise, cut and pack: the rows of :func:`pieces` with ``sequence_id`` and ``offset``.
+
+    Null and empty texts are the end id alone; ids may be null or repeat, repeated rows are pieces of their
+    own; ties go by id, piece and checksum; an empty table gives no rows; other columns aren't read.
+    """
     small_batches(docs.sparkSession)
     table = materialise(pieces(docs, tokenizer, id_col=id_col, text_col=text_col, capacity=capacity, end_id=end_id, with_ids=with_ids))
     return pack(table, capacity)

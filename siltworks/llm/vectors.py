@@ -2,24 +2,46 @@
 
 Vectors are normalised; each of ``tables`` tables quantises ``bits`` Gaussian projections with a random
 shift (the Euclidean p-stable family), and the cells of one table are its buckets.  Identical vectors are
-one class and go on once, with their number.  Within a bucket all cosines are taken in blocks of a bounded
+one class and go on once, with their number.  The number of projections grows with the vectors of the largest
+label, so that the expected number of unrelated vectors in a bucket stays bounded, and the number of tables
+with it, so that as few links are missed.  Within a bucket all cosines are taken in blocks of a bounded
 number of rows; a bucket with more rows is dealt out as pairs of blocks.  What leaves a block is a count per
 vector and a spanning forest, never the pairs.  A pair counts in the first table in which it meets.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, mix64
+from .common import materialise, mix64, release, whole_ids
 from .components import components, spanning
 
 #: Rows of a block: a bucket with more is split.
 BLOCK = 1024
+#: Unrelated vectors of a label that are expected in one bucket, at most.
+STRANGERS = 256
+
+
+def collision(distance: float, width: float) -> float:
+    """The chance that two points fall into one cell of a Gaussian projection, by their distance and the cells' width."""
+    r = width / distance
+    return math.erf(r / math.sqrt(2)) - math.sqrt(2 / math.pi) / r * (1 - math.exp(-r * r / 2))
+
+
+def tables_for(n: int, least: float, width: float = 2.0, miss: float = 1e-3) -> tuple[int, int]:
+    """(tables, projections) for ``n`` vectors that may be linked.
+
+    Orthogonal vectors meet in a bucket with at most ``STRANGERS`` others, 9 projections at least; a pair with
+    the cosine ``least`` meets in no table with a chance of at most ``miss``.
+    """
+    near, far = collision(max(math.sqrt(2 - 2 * least), 1e-9), width), collision(math.sqrt(2), width)
+    bits = max(9, math.ceil(math.log(max(n, 1) / STRANGERS) / -math.log(far)))
+    return max(1, math.ceil(math.log(miss) / math.log1p(-min(near**bits, 1 - 1e-12)))), bits
 
 
 def _hash_family(dim: int, tables: int, bits: int, width: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,24 +227,29 @@ def near_vectors(
     vector_col: str = "embedding",
     label_col: str = "label",
     least: float = 0.93,
-    tables: int = 26,
-    bits: int = 9,
+    tables: int | None = None,
+    bits: int | None = None,
     width: float = 2.0,
     seed: int = 17,
 ) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept.
 
-    Vectors with equal labels, not null, are linked by a cosine of at least ``least``, in doubles.  The
-    default tables miss a pair at 0.93 once in a thousand and closer pairs less often; a pair that is
-    found is linked by its exact cosine.  Null or zero vectors, and those with null or non-finite
+    Vectors with equal labels, not null, are linked by a cosine of at least ``least``, in doubles.  Without
+    ``tables`` and ``bits`` these follow the number of different vectors of the largest label
+    (:func:`tables_for`); a pair at ``least`` is missed once in a thousand and closer pairs less often.  A pair
+    that is found is linked by its exact cosine.  Ids are whole numbers; an empty table gives no rows.  Null or zero vectors, and those with null or non-finite
     components, link with nothing; vectors of different lengths are not compared.  Repeated rows are vectors
     of their own that are linked; rows that share an id share the links of all its vectors; a null id gets
     a null component unless its class has another id.
     """
+    whole_ids(vectors, id_col)
     single = "double" not in vectors.schema[vector_col].dataType.simpleString()
     base = materialise(classes(vectors, id_col, vector_col, label_col, single))
     rows = base.where("vec is not null")
     same = rows.groupBy("label", "d1", "d2").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("vec").alias("vec"))
+    if not (tables and bits):
+        largest = same.groupBy("label").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
+        tables, bits = tables_for(largest, least, width)
     reps = same.where("rep is not null").select("rep", "d1", "copies", "label", "vec")
     schema = "rep bigint, d1 bigint, copies bigint, label string, vec binary, cells binary, keys array<bigint>"
     reps = materialise(reps.mapInArrow(_keyed(tables, bits, width, seed, single), schema))
@@ -237,6 +264,7 @@ def near_vectors(
     n = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     found = met.repartition(n, "key", "i", "j").sortWithinPartitions("key", "i", "j").mapInArrow(_compare(least, tables, single), "node bigint, root bigint, links bigint")
     found = materialise(found)
+    release(reps)
     links = found.groupBy(F.col("node").alias("rep")).agg(F.sum("links").alias("_links"))
     tree = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     of = same.drop("vec").join(links, "rep", "left").join(tree.withColumnRenamed("node", "rep"), "rep", "left")
