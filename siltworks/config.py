@@ -71,6 +71,8 @@ class EngineConfig:
     mutations: str = "key"
     #: "table": mutations reach the key's rows in any partition; "partition": only those in the new row's partition.
     delete_scope: str = "table"
+    #: A table is rewritten without its deletes when so many writes of deleted keys have piled up; 0: never.
+    compact_after: int = 64
 
     def __post_init__(self) -> None:
         if bool(self.tables) == self.dynamic:

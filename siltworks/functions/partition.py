@@ -91,6 +91,10 @@ def _portable_bucket(c: Column, src: T.DataType, n: int) -> Column:
     return bucket(c.cast("long") if whole else c)
 
 
+#: Table property: "portable" gives buckets the hash that other engines compute, anything else Spark's own.
+BUCKET_HASH = "write.bucket-hash"
+
+
 def value(field: PartitionField, src: T.DataType, portable: bool = False) -> Column:
     """The partition value of a row: years, months and hours since 1970 as numbers, days as dates."""
     c = F.col(field.column)

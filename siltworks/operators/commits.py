@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,9 +29,8 @@ def ready(events: DataFrame, commit_id: str, total: int) -> DataFrame:
 
 
 def distinct_files(files: DataFrame, order: str = "event_seq") -> DataFrame:
-    """Each path once: the one that came first."""
-    first = Window.partitionBy("path").orderBy(order)
-    return files.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    """Each path once: the one that came first; repeats are combined before the shuffle."""
+    return files.groupBy("path").agg(F.min_by(F.struct(*files.columns), order).alias("_first")).select("_first.*")
 
 
 def not_empty(files: DataFrame) -> DataFrame:

@@ -159,6 +159,18 @@ def rebuilt(event: dict, key: str | None) -> tuple[dict | None, dict | None]:
     return before, after
 
 
+def _united(batches: Iterator):
+    """One type for all shapes of documents that a task sees."""
+    import pyarrow as pa
+
+    kind = None
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            kind = json.loads(text) if kind is None else merged(kind, json.loads(text))
+    if kind is not None:
+        yield pa.RecordBatch.from_arrays([pa.array([json.dumps(kind)])], names=["_kind"])
+
+
 def mongo_unwrap(df: DataFrame, mode: str = "array") -> DataFrame:
     """Events (JSON text in ``value``, the record's key as JSON text in ``key``) with typed ``before`` and ``after``.
 
@@ -190,7 +202,8 @@ def mongo_unwrap(df: DataFrame, mode: str = "array") -> DataFrame:
     schema = T.StructType([*df.schema.fields, *[T.StructField(n, T.StringType()) for n in ("_kind", "_before", "_after")]])
     parsed = df.mapInArrow(run, schema)
     kind = {"struct": {}}
-    for r in parsed.where("_kind is not null").select("_kind").distinct().collect():  # one row per shape of document
+    shapes = parsed.where("_kind is not null").select("_kind").distinct()
+    for r in shapes.mapInArrow(_united, "_kind string").collect():  # one row per task
         kind = merged(kind, json.loads(r["_kind"]))
     own = data_type(kind) or T.StructType([T.StructField("_id", T.StringType())])
     for name in ("before", "after"):

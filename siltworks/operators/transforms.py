@@ -6,6 +6,7 @@ Records are DataFrames with the envelope ``topic, partition, offset, timestamp``
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Iterator
 
@@ -109,92 +110,119 @@ def json_to_map(df: DataFrame) -> DataFrame:
     return df.withColumn("value", F.when(F.col("value").isNotNull(), F.struct(payload.alias("payload"))))
 
 
-def _class(text: str, value) -> str | None:
-    """The column type of one JSON value, as DDL; None if it has none."""
+#: Largest whole number up to which every whole number is a double.
+_EXACT = 1 << 53
+
+
+def _class(value) -> str | None:
+    """The column type of one JSON value, as DDL; None if it has none.  Whole numbers that a double can't hold are ``long``."""
     if value is None:
         return None
     if isinstance(value, bool):
         return "boolean"
     if isinstance(value, int):
-        return "int" if -(1 << 31) <= value < 1 << 31 else "bigint" if -(1 << 63) <= value < 1 << 63 else "decimal(38,0)"
+        if -(1 << 31) <= value < 1 << 31:
+            return "int"
+        if -(1 << 63) <= value < 1 << 63:
+            return "bigint" if abs(value) <= _EXACT else "long"
+        return "decimal(38,0)" if abs(value) < 10**38 else "string"
     if isinstance(value, float):
         return "double"
     if isinstance(value, str):
         return "string"
     if isinstance(value, dict):
         return "map<string,string>" if value else None
-    if not value:
-        return None
-    return _array(value)
+    return _array(value) if value else None
 
 
-def _array(values: list) -> str | None:
-    if not values:
-        return None
-    if all(isinstance(v, list) for v in values):
-        inner = {_array(v) for v in values}
-        if len(inner) > 1:
-            return "array<array<string>>"
-        only = inner.pop()
-        return f"array<{only}>" if only else None
-    if all(isinstance(v, dict) for v in values):
-        return "array<map<string,string>>"
-    if any(isinstance(v, (dict, list)) or v is None for v in values):
+def _array(values: list) -> str:
+    """The type of an array: of its elements' one type; texts if they differ in more than width, or one is null."""
+    if any(v is None for v in values):
         return "array<string>"
-    inner = {_class("", v) for v in values}
-    return f"array<{inner.pop()}>" if len(inner) == 1 else "array<string>"
+    kinds = {_class(v) or ("map<string,string>" if isinstance(v, dict) else "array<>") for v in values}
+    return f"array<{functools.reduce(wider, sorted(kinds))}>"
+
+
+#: Types of whole numbers, each of which holds the ones before it.
+_WHOLE = ("int", "bigint", "long", "decimal(38,0)")
+
+
+def wider(a: str, b: str) -> str:
+    """The type that holds the values of both without loss: whole numbers widen, and to doubles if these hold them; else text."""
+    if a == b:
+        return a
+    if a in _WHOLE and b in _WHOLE:
+        return max(a, b, key=_WHOLE.index)
+    if {a, b} <= {"int", "bigint", "double"}:
+        return "double"
+    if a.startswith("array<") and b.startswith("array<"):
+        inner = [x[6:-1] for x in (a, b)]
+        return f"array<{wider(*inner) if all(inner) else max(inner)}>"
+    return "string"
+
+
+def _settled(kind: str) -> str | None:
+    """The DDL of a type of the whole batch; None if only empty arrays were seen."""
+    return None if "array<>" in kind else kind.replace("long", "bigint")
 
 
 def json_types(df: DataFrame, column: str = "value") -> DataFrame:
-    """(key, type) of the top-level keys of JSON objects: of each key the type seen first in the log.
+    """(key, type) of the top-level keys of JSON objects: of each key the type that holds all its values in the batch.
 
-    One pass; each task keeps one row per key and the first position is found by an aggregation.
+    One pass; each task keeps one row per key and type, few of which there are per key.  Keys whose values
+    are all null, or empty objects or arrays, have no type and are left out.
     """
 
     def run(batches: Iterator):
         import pyarrow as pa
 
-        first: dict[str, tuple] = {}
+        seen: dict[str, str] = {}
         for batch in batches:
-            for *at, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
+            for topic, partition, offset, text in zip(*(batch.column(k).to_pylist() for k in range(4)), strict=True):
                 if text is None:
                     continue
                 found = json.loads(text)
                 if not isinstance(found, dict):
-                    raise ValueError(f"not a JSON object in {at[0]}/{at[1]} at {at[2]}")
+                    raise ValueError(f"not a JSON object in {topic}/{partition} at {offset}")
                 for key, value in found.items():
-                    kind = _class("", value)
-                    if kind and (key not in first or tuple(at) < first[key][0]):
-                        first[key] = (tuple(at), kind)
-        rows = [{"key": k, "type": t, "topic": a[0], "partition": a[1], "offset": a[2]} for k, (a, t) in first.items()]
-        schema = pa.schema([("key", pa.string()), ("type", pa.string()), ("topic", pa.string()), ("partition", pa.int32()), ("offset", pa.int64())])
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                    kind = _class(value)
+                    if kind:
+                        seen[key] = wider(seen[key], kind) if key in seen else kind
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), pa.string()), pa.array(list(seen.values()), pa.string())], names=["key", "type"])
 
     own = df.select("topic", F.col("partition").cast("int").alias("partition"), F.col("offset").cast("long").alias("offset"), F.col(column))
-    seen = own.mapInArrow(run, "key string, type string, topic string, partition int, offset bigint")
-    return seen.groupBy("key").agg(F.min_by("type", F.struct("topic", "partition", "offset")).alias("type"))
+    seen = own.mapInArrow(run, "key string, type string").groupBy("key").agg(F.sort_array(F.collect_set("type")).alias("types"))
+    found = [(r["key"], kind) for r in seen.collect() if (kind := _settled(functools.reduce(wider, r["types"])))]  # one row per column
+    return df.sparkSession.createDataFrame(found, "key string, type string")
 
 
 def _as_json(element: Column) -> Column:
     return F.coalesce(element, F.lit("null"))
 
 
+def _shown(value: Column, kind: str) -> Column:
+    """A parsed value in which JSON nulls within texts are the text ``null``."""
+    if kind == "map<string,string>":
+        return F.transform_values(value, lambda k, v: _as_json(v))
+    if kind == "array<string>":
+        return F.transform(value, _as_json)
+    if kind.startswith("array<"):
+        return F.transform(value, lambda x: _shown(x, kind[6:-1]))
+    return value
+
+
 def json_to_struct(df: DataFrame) -> DataFrame:
-    """JSON objects in ``value`` as typed fields, one per top-level key; nested objects are maps of texts."""
+    """JSON objects in ``value`` as typed fields, one per top-level key; nested objects are maps of texts.
+
+    A key's type holds all its values in the batch (:func:`json_types`): what differs in more than width is
+    text, as it stands in the JSON (a fraction as the double that it is).  The text is parsed once for all keys.
+    """
     kinds = {r["key"]: r["type"] for r in json_types(df).orderBy("key").collect()}  # one row per column
-    fields = []
-    for name, kind in kinds.items():
-        parsed = F.from_json("value", T.StructType([T.StructField(name, _ddl(kind))])).getField(name)
-        if kind == "map<string,string>":
-            parsed = F.transform_values(parsed, lambda k, v: _as_json(v))
-        elif kind == "array<map<string,string>>":
-            parsed = F.transform(parsed, lambda m: F.transform_values(m, lambda k, v: _as_json(v)))
-        elif kind == "array<string>":
-            parsed = F.transform(parsed, _as_json)
-        elif kind == "array<array<string>>":
-            parsed = F.transform(parsed, lambda a: F.transform(a, _as_json))
-        fields.append(parsed.alias(name))
-    return _replaced(df, fields or [F.lit(None).cast("string").alias("_none")])
+    if not kinds:
+        return _replaced(df, [F.lit(None).cast("string").alias("_none")])
+    whole = F.from_json("value", T.StructType([T.StructField(name, _ddl(kind)) for name, kind in kinds.items()]))
+    fields = [_shown(F.col("_whole").getField(name), kind).alias(name) for name, kind in kinds.items()]
+    return _replaced(df.withColumn("_whole", whole), fields).drop("_whole")
 
 
 def _ddl(kind: str) -> T.DataType:

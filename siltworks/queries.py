@@ -15,12 +15,12 @@ from pyspark.sql import types as T
 
 from .config import EngineConfig, TableConfig
 from .functions import partition
-from .functions.coerce import Options, coerce, project
-from .operators import commits, mutate, route
+from .functions.coerce import UUID, Options, coerce, coerce_field, project
+from .operators import commits, mongo, mutate, route
 from .operators import transforms as xf
 from .plans import schema as schemas
 from .sources.log import ENVELOPE, events_log, read
-from .sources.store import Store
+from .sources.store import IDENTIFIER, Store
 from .streaming.engine import Engine
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -173,6 +173,68 @@ def json_to_map_root(spark, sf_dir):
     return xf.json_to_map(log).select("event_id", F.explode("value.payload").alias("key", "value"))
 
 
+@query(
+    """SELECT CAST(event_id AS INTEGER) AS id, event_id + CASE WHEN event_id % 2 = 1 THEN 3000000000 ELSE 0 END AS n, event_id + CASE WHEN event_id % 2 = 1 THEN 0.5 ELSE 0 END::DOUBLE AS d,
+CASE event_id % 3 WHEN 0 THEN event_id::VARCHAR WHEN 1 THEN 'x' || event_id ELSE 'true' END AS t FROM events"""
+)
+def json_to_map_changing_types(spark, sf_dir):
+    odd = F.col("event_id") % 2 == 1
+    name = F.col("event_id").cast("string")
+    text = F.concat(
+        F.lit('{"id":'), name, F.lit(',"n":'), F.when(odd, F.col("event_id") + 3000000000).otherwise(F.col("event_id")).cast("string"),
+        F.lit(',"d":'), F.when(odd, F.concat(name, F.lit(".5"))).otherwise(name),
+        F.lit(',"t":'), F.when(F.col("event_id") % 3 == 0, name).when(F.col("event_id") % 3 == 1, F.concat(F.lit('"x'), name, F.lit('"'))).otherwise("true"), F.lit("}"),
+    )
+    return xf.json_to_struct(events_log(spark, sf_dir).withColumn("value", text)).select("value.id", "value.n", "value.d", "value.t")
+
+
+_CUSTOMER_DOC = """format_string('{"_id":{"$numberLong":"%d"},"name":"%s","seg":"%s","bal":{"$numberDouble":"%s"}}', c_custkey, c_name, c_mktsegment, CAST(c_acctbal AS STRING))"""
+
+
+def _mongo(spark, sf_dir, event: str):
+    """Customers as change events of a document database; ``event`` is SQL for the JSON text, ``doc`` the row's document in it."""
+    c = table(spark, sf_dir, "customer").withColumn("doc", F.expr(_CUSTOMER_DOC)).withColumn("event", F.expr(event))
+    at = [F.lit("c").alias("topic"), F.lit(0).alias("partition"), F.col("c_custkey").alias("offset"), F.lit("2024-01-01").cast("timestamp").alias("timestamp")]
+    return c.select(*at, F.format_string('{"id": "%d"}', "c_custkey").alias("key"), F.col("event").alias("value"))
+
+
+@query("SELECT c_custkey AS id, c_name AS name_before, CAST(NULL AS VARCHAR) AS name, 'new ' || c_mktsegment AS seg, CAST(c_custkey % 7 AS INTEGER) AS n, c_acctbal AS bal, 'u' AS op FROM customer")
+def mongo_update_rebuilt(spark, sf_dir):
+    change = """to_json(named_struct('op', 'u', 'before', doc, 'updateDescription', named_struct('removedFields', array('name'),
+        'updatedFields', format_string('{"seg":"new %s","n":{"$numberInt":"%d"}}', c_mktsegment, c_custkey % 7))))"""
+    v = mongo.mongo_unwrap(_mongo(spark, sf_dir, change)).select("value.*")
+    after = F.col("after")
+    return v.select(after["_id"].alias("id"), F.col("before.name").alias("name_before"), after["name"].alias("name"), after["seg"].alias("seg"), after["n"].alias("n"), after["bal"].alias("bal"), "op")
+
+
+@query("SELECT c_custkey AS id, CAST(c_custkey % 5 AS INTEGER) AS n FROM customer")
+def mongo_id_from_key(spark, sf_dir):
+    change = """to_json(named_struct('op', 'u', 'updateDescription', named_struct('updatedFields', format_string('{"n":%d}', c_custkey % 5))))"""
+    return mongo.mongo_unwrap(_mongo(spark, sf_dir, change)).select(F.col("value.after._id").cast("long").alias("id"), F.col("value.after.n").alias("n"))
+
+
+@query(
+    """SELECT c_custkey AS id, lpad(to_hex(c_custkey), 24, '0') AS oid, c_custkey * 1000 AS millis, c_acctbal::VARCHAR AS price, c_name AS bytes, CAST(c_custkey % 9 AS INTEGER) AS second,
+CAST(2 AS INTEGER) AS n_tags, c_mktsegment AS inner_seg, '^a' AS regex, 'x()' AS code, c_custkey % 2 = 0 AS flag FROM customer"""
+)
+def mongo_bson_types(spark, sf_dir):
+    doc = """format_string('{"_id":{"$numberLong":"%d"},"oid":{"$oid":"%s"},"at":{"$date":%d},"price":{"$numberDecimal":"%s"},"data":{"$binary":"%s","$type":"00"},"tags":[%d,%d],
+        "inner":{"seg":"%s","none":{"$undefined":true}},"re":{"$regex":"^a","$options":"i"},"code":{"$code":"x()"},"flag":%s,"least":{"$minKey":1}}',
+        c_custkey, lpad(hex(c_custkey), 24, '0'), c_custkey * 1000, CAST(c_acctbal AS STRING), base64(CAST(c_name AS BINARY)), c_custkey % 4, c_custkey % 9, c_mktsegment, CAST(c_custkey % 2 = 0 AS STRING))"""
+    v = mongo.mongo_unwrap(_mongo(spark, sf_dir, f"to_json(named_struct('op', 'c', 'after', {doc}))")).select("value.after.*")
+    return v.select(
+        F.col("_id").alias("id"), "oid", F.unix_millis("at").alias("millis"), "price", F.col("data").cast("string").alias("bytes"), F.get("tags", F.lit(1)).alias("second"),
+        F.size("tags").alias("n_tags"), F.col("inner.seg").alias("inner_seg"), F.col("re.regex").alias("regex"), "code", "flag",
+    )
+
+
+@query("SELECT c_custkey AS id, CAST(c_custkey % 4 AS INTEGER) AS first, c_name AS second FROM customer")
+def mongo_arrays_as_documents(spark, sf_dir):
+    doc = """format_string('{"_id":%d,"l":[%d,"%s"]}', c_custkey, c_custkey % 4, c_name)"""
+    v = mongo.mongo_unwrap(_mongo(spark, sf_dir, f"to_json(named_struct('op', 'c', 'after', {doc}))"), mode="document").select("value.after.*")
+    return v.select(F.col("_id").cast("long").alias("id"), F.col("l._0").alias("first"), F.col("l._1").alias("second"))
+
+
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events")
 def json_to_map_struct(spark, sf_dir):
     log = events_log(spark, sf_dir).withColumn("value", F.col("props"))
@@ -272,6 +334,42 @@ def coerce_time_text(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", time_micros(F.date_format("ts", "HH:mm:ss"), T.StringType()).alias("v"))
 
 
+@query("SELECT l_orderkey, l_linenumber, CAST(l_quantity AS FLOAT)::DOUBLE AS a, CAST(CAST(l_extendedprice AS VARCHAR) AS DOUBLE) AS b, CAST(l_orderkey AS DOUBLE) AS c FROM lineitem")
+def coerce_float_double(spark, sf_dir):
+    df = table(spark, sf_dir, "lineitem")
+    single = coerce(F.col("l_quantity"), T.DoubleType(), T.FloatType()).cast("double")
+    double = coerce(F.col("l_extendedprice").cast("string"), T.StringType(), T.DoubleType())
+    return df.select("l_orderkey", "l_linenumber", single.alias("a"), double.alias("b"), coerce(F.col("l_orderkey"), T.LongType(), T.DoubleType()).alias("c"))
+
+
+@query("SELECT o_orderkey, substr(m, 1, 8) || '-' || substr(m, 9, 4) || '-' || substr(m, 13, 4) || '-' || substr(m, 17, 4) || '-' || substr(m, 21) AS v FROM (SELECT o_orderkey, md5(o_orderkey::VARCHAR) AS m FROM orders)")
+def coerce_uuid(spark, sf_dir):
+    m = F.upper(F.md5(F.col("o_orderkey").cast("string").cast("binary")))
+    text = F.concat_ws("-", *[F.substring(m, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
+    return table(spark, sf_dir, "orders").select("o_orderkey", coerce_field(text, T.StringType(), T.StructField("u", T.StringType(), True, UUID), Options()).alias("v"))
+
+
+@query("SELECT event_id, user_id AS first, event_id + 1 AS second, 2 AS n FROM events")
+def coerce_list(spark, sf_dir):
+    texts = F.array(F.col("user_id").cast("string"), (F.col("event_id") + 1).cast("string"))
+    v = coerce(texts, T.ArrayType(T.StringType()), T.ArrayType(T.LongType()))
+    return table(spark, sf_dir, "events").select("event_id", v[0].alias("first"), v[1].alias("second"), F.size(v).alias("n"))
+
+
+@query("SELECT event_id, event_type AS key, user_id::DOUBLE AS value FROM events")
+def coerce_map(spark, sf_dir):
+    texts = F.create_map(F.col("event_type"), F.col("user_id").cast("string"))
+    v = coerce(texts, T.MapType(T.StringType(), T.StringType()), T.MapType(T.StringType(), T.DoubleType()))
+    return table(spark, sf_dir, "events").select("event_id", F.explode(v).alias("key", "value"))
+
+
+@query("SELECT event_id, epoch_us(date_trunc('second', ts)) - CASE event_id % 3 WHEN 2 THEN 5400000000 ELSE 0 END AS v FROM events")
+def coerce_timestamp_strict(spark, sf_dir):
+    offset = F.element_at(F.array(F.lit(""), F.lit("Z"), F.lit("+0130")), (F.col("event_id") % 3 + 1).cast("int"))
+    text = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), offset)
+    return _one(spark, sf_dir, "events", "event_id", text, T.StringType(), T.TimestampType(), opts=Options(strict_timestamps=True)).withColumn("v", F.unix_micros("v"))
+
+
 @query("SELECT n_nationkey, '{\"a\":' || n_nationkey || ',\"b\":\"' || n_name || '\",\"c\":null}' AS v FROM nation")
 def coerce_to_json_string(spark, sf_dir):
     n = table(spark, sf_dir, "nation").withColumn("s", F.struct(F.col("n_nationkey").alias("a"), F.col("n_name").alias("b"), F.lit(None).cast("string").alias("c")))
@@ -335,6 +433,26 @@ def evolve_widen_int_long(spark, sf_dir):
     return engine.store.table("t").scan()
 
 
+@query("SELECT * FROM (VALUES ('user_id', true, 3), ('event_id', true, 3)) v(field, nullable, width) UNION ALL SELECT 'rows', NULL, count(*) FROM events")
+def evolve_relax_optional(spark, sf_dir):
+    """A required column is relaxed by records in which it may be null."""
+    at = store(spark)
+    strict = T.StructType([T.StructField(n, T.LongType(), False) for n in ("event_id", "user_id")])
+    at.table("t").create(strict)
+    e = table(spark, sf_dir, "events").withColumn("user_id", F.when(F.col("event_id") % 2 == 0, F.col("user_id")))
+    Engine(spark, EngineConfig(tables=("t",), evolve_schema=True), at).run_batch(records(e, key="event_id", topic="e", columns=["event_id", "user_id"]))
+    fields = ", ".join(f"('{f.name}', {str(f.nullable).lower()}, 3L)" for f in at.table("t").load().schema.fields)
+    rows = at.table("t").scan().agg(F.lit("rows").alias("field"), F.lit(None).cast("boolean").alias("nullable"), F.count("*").alias("width"))
+    return spark.sql(f"SELECT * FROM VALUES {fields} AS t(field, nullable, width)").unionByName(rows)
+
+
+@query("SELECT * FROM (VALUES ('as declared', 'a', false), ('as declared', 'b', true), ('optional', 'a', true), ('optional', 'b', true)) v(mode, field, nullable)")
+def schema_force_optional(spark, sf_dir):
+    kind = T.StructType([T.StructField("a", T.LongType(), False), T.StructField("b", T.StringType())])
+    found = [(mode, f.name, f.nullable) for mode, force in (("as declared", False), ("optional", True)) for f in schemas.declared(kind, force).fields]
+    return spark.createDataFrame(found, "mode string, field string, nullable boolean")
+
+
 # partition transforms ---------------------------------------------------------------------------------
 
 
@@ -363,7 +481,37 @@ _parted("part_hour", "hours(ts)", ("event_id",), "events", "SELECT event_id, CAS
 _parted("part_truncate_str", "truncate(p_name, 5)", ("p_partkey",), "part", "SELECT p_partkey, left(p_name, 5) AS p FROM part")
 _parted("part_truncate_int", "truncate(o_orderkey, 100)", ("o_orderkey",), "orders", "SELECT o_orderkey, o_orderkey - o_orderkey % 100 AS p FROM orders")
 _parted("part_identity", "c_mktsegment", ("c_custkey",), "customer", "SELECT c_custkey, c_mktsegment AS p FROM customer")
-_parted("part_bucket", "bucket(c_custkey, 16)", ("c_custkey",), "customer", None)
+
+
+def _bucket_sql() -> str:
+    """The 32-bit Murmur3 hash, with seed 0, of a whole number's 8 bytes, step by step."""
+    times = lambda x, by: f"CAST(CAST({x} AS HUGEINT) * {by} % 4294967296 AS BIGINT)"
+    turned = lambda x, by: f"(({x} << {by}) % 4294967296 | ({x} >> {32 - by}))"
+    mixed = lambda h, k: f"({times(turned(f'xor({h}, {k})', 13), 5)} + 3864292196) % 4294967296"
+    steps = [
+        "SELECT c_custkey, c_custkey % 4294967296 AS lo, c_custkey // 4294967296 AS hi FROM customer",
+        f"SELECT *, {times('lo', 3432918353)} AS a, {times('hi', 3432918353)} AS b FROM ({{}})",
+        f"SELECT *, {times(turned('a', 15), 461845907)} AS k1, {times(turned('b', 15), 461845907)} AS k2 FROM ({{}})",
+        f"SELECT *, {mixed('CAST(0 AS BIGINT)', 'k1')} AS h1 FROM ({{}})",
+        f"SELECT *, xor({mixed('h1', 'k2')}, 8) AS h2 FROM ({{}})",
+        f"SELECT *, {times('xor(h2, h2 >> 16)', 2246822507)} AS h3 FROM ({{}})",
+        f"SELECT *, {times('xor(h3, h3 >> 13)', 3266489909)} AS h4 FROM ({{}})",
+        "SELECT c_custkey, CAST(xor(h4, h4 >> 16) % 2147483648 % 16 AS INTEGER) AS p FROM ({})",
+    ]
+    out = steps[0]
+    for step in steps[1:]:
+        out = step.format(out)
+    return out
+
+
+@query(_bucket_sql())
+def part_bucket(spark, sf_dir):
+    """Buckets by the hash that other engines use, as a table stores them that asks for it."""
+    at = store(spark).table("t")
+    c = table(spark, sf_dir, "customer").select("c_custkey")
+    at.create(c.schema, ["bucket(c_custkey, 16)"], {partition.BUCKET_HASH: "portable"})
+    files = at.append(c).files
+    return spark.read.parquet(files[0]["path"]).select("c_custkey", F.col("_p_c_custkey_bucket").cast("int").alias("p"))
 
 
 # writing ----------------------------------------------------------------------------------------------
@@ -431,6 +579,42 @@ def cdc_partition_scoped(spark, sf_dir):
     return engine.store.table("t").scan().drop("op")
 
 
+@query(_HALVES.format(key="user_id, CAST(ts AS DATE)", same="b.user_id = x.user_id AND CAST(b.ts AS DATE) = CAST(x.ts AS DATE)"))
+def cdc_partition_scoped_day(spark, sf_dir):
+    """Mutations reach the rows of a key whose partition value is the same: of one day, at whatever time."""
+    engine = _cdc_engine(spark, delete_scope="partition", default_partition_by=("day(ts)",))
+    log = events_log(spark, sf_dir).select(*POSITION, "timestamp", F.struct("user_id", "event_id", "event_type", "op", F.col("timestamp").alias("ts")).alias("value"))
+    engine.run_batch(log.where("value.event_id % 10 < 5"), 0)
+    engine.run_batch(log.where("value.event_id % 10 >= 5"), 1)
+    return engine.store.table("t").scan().drop("op", "ts")
+
+
+@query(f"SELECT user_id, event_id, event_type FROM ({_LAST}) WHERE op <> 'D'")
+def cdc_identifier_fields(spark, sf_dir):
+    """The table itself says which columns identify a row."""
+    at = store(spark)
+    log = _cdc(spark, sf_dir)
+    at.table("t").create(log.schema["value"].dataType, (), {IDENTIFIER: "user_id"})
+    Engine(spark, EngineConfig(tables=("t",), cdc_field="op"), at).run_batch(log)
+    return at.table("t").scan().drop("op")
+
+
+@query(
+    f"""WITH l AS ({LOG}), x AS (SELECT * FROM l QUALIFY row_number() OVER (PARTITION BY user_id, event_id % 50 ORDER BY partition DESC, "offset" DESC) = 1)
+SELECT user_id, event_id, event_type FROM x WHERE op <> 'D' AND NOT EXISTS (SELECT 1 FROM l WHERE l.user_id = x.user_id AND l.event_id % 50 > x.event_id % 50 AND l.op IN ('U', 'D'))"""
+)
+def cdc_many_commits(spark, sf_dir):
+    """Fifty commits, with a compaction on the way; the scan's plan is as long as after two."""
+    engine = _cdc_engine(spark, compact_after=30)
+    log = _cdc(spark, sf_dir).persist()
+    try:
+        for k in range(50):
+            engine.run_batch(log.where(F.col("value.event_id") % 50 == k), k)
+    finally:
+        log.unpersist()
+    return engine.store.table("t").scan().drop("op")
+
+
 @query("SELECT o_custkey, o_orderkey, o_orderstatus FROM orders QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey % 4 DESC, o_orderkey // 4 DESC) = 1")
 def upsert_latest(spark, sf_dir):
     config = EngineConfig(tables=("t",), auto_create=True, default_id_columns=("o_custkey",), upsert=True)
@@ -464,6 +648,83 @@ def vtts(spark, sf_dir):
     return commits.valid_through(assigned, commits.offsets(events_log(spark, sf_dir))).select(F.unix_micros("vtts").alias("vtts"))
 
 
+@query(f"""SELECT v.n AS assigned, CASE WHEN v.n = 4 THEN t.vtts END AS vtts FROM (VALUES (4), (5)) v(n), (SELECT epoch_ms(min(t)) AS vtts FROM (SELECT arg_max(ts, "offset") AS t FROM ({LOG}) GROUP BY topic, partition)) t""")
+def vtts_idle_partition(spark, sf_dir):
+    """The engine's valid-through time, with all assigned partitions active, and with an idle one."""
+    log = _cdc(spark, sf_dir)
+    found = []
+    for n in (4, 5):
+        engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True), store(spark), assigned=[("events", p) for p in range(n)])
+        found.append((n, engine.run_batch(log)[-1]["vtts"]))
+    return spark.createDataFrame(found, "assigned int, vtts long")
+
+
+@query(f"""SELECT topic || '-' || partition AS log_partition, max("offset") + 1 AS next_offset FROM ({LOG}) GROUP BY 1""")
+def offsets_lookup(spark, sf_dir):
+    """What a table knows of the log's progress after commits that each had other partitions."""
+    config = EngineConfig(tables=("t",), auto_create=True)
+    engine = Engine(spark, config, store(spark))
+    for k in range(2):
+        engine.run_batch(_cdc(spark, sf_dir, f"partition div 2 = {k}"), k)
+    found = engine.store.table("t").offsets(config.control_topic, config.control_group)
+    return spark.createDataFrame(sorted(found.items()), "log_partition string, next_offset long")
+
+
+@query("SELECT 'kafka.connect.commit-id' AS name, 1 AS n UNION ALL SELECT 'kafka.connect.vtts', 1 UNION ALL SELECT 'kafka.connect.offsets.control-iceberg.cg-control-job', 1 UNION ALL SELECT 'commit-key', 1")
+def commit_summary(spark, sf_dir):
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True), store(spark))
+    engine.run_batch(_cdc(spark, sf_dir))
+    return spark.createDataFrame([(name, 1) for name in engine.store.table("t").load().summary], "name string, n int")
+
+
+@query("SELECT 'commit-table' AS type, count(DISTINCT event_type) AS n FROM events UNION ALL SELECT 'commit-complete', 1")
+def commit_notifications(spark, sf_dir):
+    types = ("click", "view", "purchase", "signup", "error")
+    config = EngineConfig(tables=types, route_field="event_type", auto_create=True, per_table={t: TableConfig(route_regex=t) for t in types})
+    engine = Engine(spark, config, store(spark))
+    heard: list[dict] = []
+    engine.on_commit.append(heard.append)
+    engine.run_batch(_cdc(spark, sf_dir))
+    return spark.createDataFrame([(e["type"],) for e in heard], "type string").groupBy("type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT 'audit' AS branch, count(*) AS n FROM events UNION ALL SELECT 'main', 0")
+def commit_branch(spark, sf_dir):
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True, default_commit_branch="audit"), store(spark))
+    engine.run_batch(_cdc(spark, sf_dir))
+    counts = [engine.store.table("t").scan(b).agg(F.lit(b).alias("branch"), F.count("*").alias("n")) for b in ("audit", "main")]
+    return counts[0].unionByName(counts[1])
+
+
+@query("SELECT 1 AS snapshots, 0 AS table_commits, 1 AS completions")
+def commit_empty(spark, sf_dir):
+    """A batch of tombstones makes no snapshot beyond the table's creation, and still completes."""
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True), store(spark))
+    events = engine.run_batch(_cdc(spark, sf_dir).withColumn("value", F.when(F.col("offset") < 0, F.col("value"))))
+    kinds = [e["type"] for e in events]
+    return spark.createDataFrame([(len(engine.store.table("t").history()), kinds.count("commit-table"), kinds.count("commit-complete"))], "snapshots int, table_commits int, completions int")
+
+
+@query("SELECT count(*) AS n, true AS several_files FROM lineitem")
+def write_target_file_size(spark, sf_dir):
+    at = store(spark).table("t")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice").coalesce(1)
+    at.create(rows.schema, (), {"write.target-file-size-bytes": "50000"})
+    files = at.append(rows).files
+    n = spark.read.parquet(files[0]["path"]).select(F.col("_metadata.file_path").alias("f")).agg(F.count_distinct("f")).first()[0]
+    return at.scan().agg(F.count("*").alias("n")).withColumn("several_files", F.lit(n > 1))
+
+
+@query("SELECT 'there' AS table_name, count(*) AS n FROM events WHERE event_type = 'click'")
+def route_missing_table(spark, sf_dir):
+    """Dynamic routing drops the records of tables that don't exist."""
+    at = store(spark)
+    e = table(spark, sf_dir, "events").withColumn("goal", F.when(F.col("event_type") == "click", "There").otherwise("nowhere"))
+    at.table("there").create(T.StructType.fromDDL("event_id bigint, goal string"))
+    Engine(spark, EngineConfig(dynamic=True, route_field="goal"), at).run_batch(records(e, key="event_id", topic="e", columns=["event_id", "goal"]))
+    return at.table("there").scan().agg(F.lit("there").alias("table_name"), F.count("*").alias("n"))
+
+
 def _manifest(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     return e.select(F.concat(F.lit("f"), F.col("user_id").cast("string")).alias("path"), F.col("event_id").alias("event_seq"), (F.col("event_id") % 3).alias("record_count"))

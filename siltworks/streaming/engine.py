@@ -17,13 +17,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import EngineConfig
+from ..config import EngineConfig, split_list
 from ..functions import partition
 from ..functions.coerce import Options, project
 from ..operators import commits, mutate, route
 from ..operators.transforms import extract
 from ..plans import schema as schemas
-from ..sources.store import MAIN, Store
+from ..sources.store import IDENTIFIER, MAIN, Store
 
 POSITION = ("topic", "partition", "offset")
 AUDIT = T.StructType([*[T.StructField(n, T.StringType()) for n in ("id", "type", "group_id", "commit_id", "payload")], T.StructField("ts", T.TimestampType())])
@@ -42,16 +42,27 @@ def _storable(kind: T.DataType) -> bool:
 class Engine:
     """Runs batches of a log into the tables of ``store``."""
 
-    def __init__(self, spark: SparkSession, config: EngineConfig, store: Store, transforms: Sequence[Transform] = (), has_schema: bool = True) -> None:
+    def __init__(
+        self,
+        spark: SparkSession,
+        config: EngineConfig,
+        store: Store,
+        transforms: Sequence[Transform] = (),
+        has_schema: bool = True,
+        assigned: Sequence[tuple[str, int]] = (),
+    ) -> None:
+        """``assigned`` are log partitions that are read though they may be idle; those that had records once are known."""
         self.spark, self.config, self.store = spark, config, store
         self.transforms, self.has_schema = list(transforms), has_schema
         self.on_commit: list[Callable[[dict], None]] = []
         self.audit: str | None = None  # the name of a table that keeps the events
+        self.assigned = set(assigned)
         spark.conf.set("spark.sql.mapKeyDedupPolicy", "LAST_WIN")
 
     def run_batch(self, records: DataFrame, batch_id: int = 0, query_id: str = "batch") -> list[dict]:
         """Ingests ``records`` (envelope and ``value``); returns one event per table's commit, and one for all."""
         progress = {(r["topic"], r["partition"]): (r["next_offset"], r["last_timestamp"]) for r in commits.offsets(records).collect()}  # one per log partition
+        self._known()
         cached = records.is_cached
         for transform in self.transforms:
             records = transform(records)
@@ -79,6 +90,7 @@ class Engine:
         for event in events:
             for listener in self.on_commit:
                 listener(event)
+        self.assigned |= set(progress)
         if self.audit:
             self._keep(events, f"{query_id}/{batch_id}")
         return events
@@ -100,11 +112,19 @@ class Engine:
         rows = self.spark.createDataFrame(own, T.StructType(AUDIT.fields[:-1])).withColumn("ts", F.current_timestamp())
         table.publish([table.write(rows)], [], {"commit-key": f"{key}/{self.audit}"})
 
-    @staticmethod
-    def _vtts(progress: dict) -> int | None:
-        times = [t for _, t in progress.values()]
+    def _vtts(self, progress: dict) -> int | None:
+        """The smallest last time over all assigned partitions; None if one of them has no record in this batch."""
+        times = [progress.get(p, (None, None))[1] for p in {*self.assigned, *progress}]
         return min(int(t.timestamp() * 1000) for t in times) if times and all(times) else None
 
+    def _known(self) -> None:
+        """Partitions of earlier runs are assigned too."""
+        for name in self.config.tables:
+            branch = self.config.table(name).commit_branch or MAIN
+            for where in self.store.table(name).offsets(self.config.control_topic, self.config.control_group, branch):
+                topic, _, number = where.rpartition("-")
+                self.assigned.add((topic, int(number)))
+
     def _table(self, name: str, rows: DataFrame, kind: T.DataType, progress: dict, commit_id: str, key: str) -> dict | None:
         config, own = self.config, self.config.table(name)
         table, branch = self.store.table(name), own.commit_branch or MAIN
@@ -120,7 +140,8 @@ class Engine:
                 raise LookupError(f"table {name} does not exist")
             if not record.fields:
                 return None
-            table.create(record, own.partition_by or (), config.auto_create_props)
+            identifier = {IDENTIFIER: ",".join(own.id_columns)} if own.id_columns else {}
+            table.create(record, own.partition_by or (), {**identifier, **config.auto_create_props})
         state = table.load(branch)
         if config.evolve_schema:
             changes = schemas.diff(state.schema, record, has_schema=self.has_schema and not isinstance(kind, T.VariantType), case_insensitive=config.case_insensitive)
@@ -128,30 +149,37 @@ class Engine:
                 state = table.evolve(changes, branch)
         where = F.concat_ws("/", *[F.col(c).cast("string") for c in POSITION])
         columns = project(F.col("value"), kind, state.schema, Options(case_insensitive=config.case_insensitive, where=where))
-        keys = list(own.id_columns or ())
         properties = {**state.properties, **config.write_props}
-        removed: list[str] = []
-        if (config.cdc_field or config.upsert) and keys:
+        if config.cdc_field or config.upsert:
+            keys = list(own.id_columns or split_list(state.properties.get(IDENTIFIER)))
+            if not keys:
+                raise ValueError(f"table {name} has no identifier fields, and none are configured: changes can't be applied")
             cdc = extract(F.col("value"), kind, config.cdc_field) if config.cdc_field else None
             batch = rows.select(*columns, mutate.resolved(cdc, config.upsert).alias(mutate.OP), *[F.col(c).alias(f"_{c}") for c in POSITION])
             order = [f"_{c}" for c in POSITION]
-            scope = [f.column for f in partition.parse(state.spec)] if config.delete_scope == "partition" else []
-            on = [*keys, *[c for c in scope if c not in keys]]
+            scope = []
+            if config.delete_scope == "partition":  # the partition's value, not the column that it is made of
+                portable = properties.get(partition.BUCKET_HASH) == "portable"
+                for f in partition.parse(state.spec):
+                    scope.append(f"_p_{f.name}")
+                    batch = batch.withColumn(scope[-1], partition.value(f, batch.schema[f.column].dataType, portable))
+            on = [*keys, *scope]
             gone = mutate.touched(batch, on, order, config.mutations, ["_topic", "_partition"])
             new = mutate.survivors(batch, on, order).select(*state.schema.fieldNames())
-            files = [table.write(gone, content="deletes"), table.write(new, state.spec, properties=properties)]
+            with ThreadPoolExecutor(2) as pool:  # neither write needs the other
+                writes = [pool.submit(table.write, gone, content="deletes"), pool.submit(table.write, new, state.spec, properties=properties)]
+                files = [w.result() for w in writes]
         else:
             files = [table.write(rows.select(*columns), state.spec, properties=properties)]
-        summary = {
-            "commit-key": f"{key}/{name}",
-            "kafka.connect.commit-id": commit_id,
-            f"kafka.connect.offsets.{config.control_topic}.{config.control_group}": json.dumps({f"{t}-{p}": n for (t, p), (n, _) in sorted(progress.items())}),
-        }
+        summary = {"commit-key": f"{key}/{name}", "kafka.connect.commit-id": commit_id}
         if (vtts := self._vtts(progress)) is not None:
             summary["kafka.connect.vtts"] = str(vtts)
-        done = table.publish(files, removed, summary, branch)
+        offsets = {f"{t}-{p}": n for (t, p), (n, _) in progress.items()}
+        done = table.publish(files, [], summary, branch, (f"{config.control_topic}.{config.control_group}", offsets))
         if done.number == state.number:
             return None  # no files, or committed before
+        if config.compact_after and sum(f["content"] == "deletes" for f in done.files) >= config.compact_after:
+            table.compact(branch)
         return {"type": "commit-table", "table": name, "snapshot": done.number, "commit_id": commit_id, "vtts": vtts}
 
     def start(self, records: DataFrame, checkpoint: str, *, available_now: bool = False):

@@ -91,6 +91,86 @@ def test_store_conflicts_and_creation(spark, tmp_path):
     assert table.append(spark.createDataFrame([], "a int")).number == 1  # nothing to commit
 
 
+def test_torn_entries_are_passed_over(spark, tmp_path):
+    table = Store(spark, f"file://{tmp_path}").table("t")
+    table.create(T.StructType.fromDDL("a int"))
+    table.append(spark.createDataFrame([(1,)], "a int"))
+    (tmp_path / "t/_log/000000000003.json").write_text("")
+    (tmp_path / "t/_log/000000000004.json").write_text('{"branch": "ma')
+    assert table.load().number == 2 and len(table.history()) == 2
+    assert table.append(spark.createDataFrame([(2,)], "a int")).number == 5
+    assert sorted(r["a"] for r in table.scan().collect()) == [1, 2]
+    assert not [p for p in (tmp_path / "t/_log").iterdir() if p.name.startswith("_")]
+
+
+def test_plans_do_not_grow_with_the_commits(spark, tmp_path):
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True, cdc_field="op", default_id_columns=("id",), compact_after=0), Store(spark, f"file://{tmp_path}"))
+    sizes, want = [], {}
+    for k in range(6):
+        engine.run_batch(log(spark, [(k % 3, "a", f"v{k}", "U"), (k + 10, "b", "x", "I")], start=2 * k), k)
+        want |= {k % 3: f"v{k}", k + 10: "x"}
+        table = engine.store.table("t").scan()
+        sizes.append(table._jdf.queryExecution().optimizedPlan().toString().count("\n"))
+    assert dict(table.select("id", "payload").collect()) == want and sizes[-1] == sizes[1]
+    assert table._jdf.queryExecution().optimizedPlan().toString().count("Join LeftAnti") == 1
+
+
+def test_tables_are_compacted(spark, tmp_path):
+    engine = Engine(spark, EngineConfig(tables=("t",), auto_create=True, cdc_field="op", default_id_columns=("id",), compact_after=3), Store(spark, f"file://{tmp_path}"))
+    for k in range(5):
+        engine.run_batch(log(spark, [(1, "a", f"v{k}", "U")], start=k), k)
+    table = engine.store.table("t")
+    assert len(table.load().files) <= 5 and [r["payload"] for r in table.scan().collect()] == ["v4"]
+    engine.run_batch(log(spark, [(1, "a", "again", "U")], start=4), 4)  # known, though compacted since
+    assert [r["payload"] for r in table.scan().collect()] == ["v4"]
+
+
+def test_changes_need_keys(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    batch = log(spark, [(1, "a", "x", "I"), (1, "a", "x", "D")])
+    with pytest.raises(ValueError):
+        Engine(spark, EngineConfig(tables=("t",), auto_create=True, cdc_field="op"), store).run_batch(batch)
+    store.table("u").create(T.StructType.fromDDL(EVENT), (), {"identifier-fields": "id"})
+    Engine(spark, EngineConfig(tables=("u",), cdc_field="op"), store).run_batch(batch)
+    assert store.table("u").scan().count() == 0
+
+
+def test_deletes_by_partition_value(spark, tmp_path):
+    schema = "id bigint, ts timestamp, op string"
+    rows = lambda *at: log(spark, [(1, dt.datetime(2024, 1, d, h), op) for d, h, op in at], schema)
+    for spec in ("day(ts)", "hour(ts)", "bucket(id, 4)"):
+        for properties in ({}, {"write.bucket-hash": "portable"}):
+            config = EngineConfig(tables=("t",), auto_create=True, cdc_field="op", default_id_columns=("id",), delete_scope="partition", default_partition_by=(spec,), auto_create_props=properties)
+            engine = Engine(spark, config, Store(spark, f"file://{tmp_path}/{spec[:3]}{len(properties)}"))
+            engine.run_batch(rows((1, 1, "I"), (2, 1, "I")), 0)
+            engine.run_batch(rows((1, 2, "U")), 1)
+            left = sorted((r["ts"].day, r["ts"].hour) for r in engine.store.table("t").scan().collect())
+            assert left == {"day": [(1, 2), (2, 1)], "hou": [(1, 1), (1, 2), (2, 1)], "buc": [(1, 2)]}[spec[:3]]
+
+
+def test_idle_partitions_hold_the_time_back(spark, tmp_path):
+    store = Store(spark, f"file://{tmp_path}")
+    config = EngineConfig(tables=("t",), auto_create=True)
+    move = lambda df, p: df.withColumn("partition", F.lit(p))
+    one = log(spark, [(1, "a", "x", "I")])
+    assert Engine(spark, config, store, assigned=[("t", 7)]).run_batch(one, 0)[-1]["vtts"] is None
+    engine = Engine(spark, config, store)
+    assert engine.run_batch(move(one, 1), 1)[-1]["vtts"] is None  # partition 0 is known from the table
+    assert engine.run_batch(one.unionByName(move(one, 1)), 2)[-1]["vtts"] == 1704067200000
+    assert store.table("t").offsets(config.control_topic, config.control_group) == {"t-0": 1, "t-1": 1}
+    assert store.table("none").offsets("x", "y") == {}
+
+
+def test_target_file_size(spark, tmp_path):
+    table = Store(spark, f"file://{tmp_path}").table("t")
+    table.create(T.StructType.fromDDL("a bigint, b string"), (), {"write.target-file-size-bytes": "40000"})
+    rows = spark.range(20_000, numPartitions=1).select(F.col("id").alias("a"), F.md5(F.col("id").cast("string")).alias("b"))
+    for _ in range(2):
+        table.append(rows)
+    first, second = (len(list((tmp_path / "t/data" / f["path"].rsplit("/", 1)[1]).glob("*.parquet"))) for f in table.load().files)
+    assert first > 1 and 15 <= second <= 40 and table.scan().count() == 40_000
+
+
 def test_evolution(spark):
     table = T.StructType([T.StructField("i", T.IntegerType(), False), T.StructField("f", T.FloatType(), False), T.StructField("l", T.ArrayType(T.StructType.fromDDL("x int")))])
     record = T.StructType([T.StructField("i", T.LongType(), True), T.StructField("f", T.DoubleType(), False), T.StructField("s", T.StringType()), T.StructField("l", T.ArrayType(T.StructType.fromDDL("x int, y int")))])

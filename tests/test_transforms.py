@@ -13,10 +13,10 @@ def log(spark, values, key=None):
     return df.select(*at, "key", "value")
 
 
-def test_json_types_by_the_first_record(spark):
+def test_json_types(spark):
     rows = [
         {"int": 1, "long": 3147483647, "double": 3.0, "big": 2**70, "str": "s", "bool": True, "null": None, "obj": {"a": 1, "b": None}, "empty_obj": {}, "empty_arr": []},
-        {"int": "later", "arr": [1, 2], "mixed": [1, "a", None], "nulls": [None], "objs": [{"k": [1, 2]}, {}], "nested": [[1], [2]], "uneven": [[1], ["a"]], "empties": [[], []]},
+        {"arr": [1, 2], "mixed": [1, "a", None], "nulls": [None], "objs": [{"k": [1, 2]}, {}], "nested": [[1], [2]], "uneven": [[1], ["a"]], "empties": [[], []]},
     ]
     found = {r["key"]: r["type"] for r in xf.json_types(log(spark, map(json.dumps, rows))).collect()}
     assert found == {
@@ -27,6 +27,25 @@ def test_json_types_by_the_first_record(spark):
     assert first["obj"] == {"a": "1", "b": "null"} and first["big"] == 2**70 and first["double"] == 3.0
 
 
+def test_later_values_of_another_type_are_kept(spark):
+    texts = ['{"a":1,"b":1}', '{"a":3000000000,"b":"later"}', '{"a":1.5,"b":2}']
+    got = [r.asDict() for r in xf.json_to_struct(log(spark, texts)).orderBy("offset").select("value.*").collect()]
+    # 3000000000 is a double without loss, a text is none
+    assert got == [{"a": 1.0, "b": "1"}, {"a": 3e9, "b": "later"}, {"a": 1.5, "b": "2"}]
+    texts = ['{"a":9007199254740993,"b":[1],"c":{"k":1},"d":true,"e":1,"f":[[]],"g":1e400}', '{"a":0.5,"b":[2.5],"c":[1],"d":1,"e":100000000000000000000,"f":[[1]]}', '{"b":[3000000000],"c":7.50}']
+    kinds = {r["key"]: r["type"] for r in xf.json_types(log(spark, texts)).collect()}
+    assert kinds == {"a": "string", "b": "array<double>", "c": "string", "d": "string", "e": "decimal(38,0)", "f": "array<array<int>>", "g": "double"}
+    got = [r.asDict(True) for r in xf.json_to_struct(log(spark, texts)).orderBy("offset").select("value.*").collect()]
+    assert [r["a"] for r in got] == ["9007199254740993", "0.5", None] and [r["b"] for r in got] == [[1.0], [2.5], [3e9]]
+    assert [r["c"] for r in got] == ['{"k":1}', "[1]", "7.5"] and [r["d"] for r in got] == ["true", "1", None]
+    assert [int(r["e"]) for r in got[:2]] == [1, 10**20] and got[1]["f"] == [[1]]
+
+
+@pytest.mark.parametrize("a, b, both", [("int", "bigint", "bigint"), ("long", "double", "string"), ("bigint", "double", "double"), ("array<int>", "array<>", "array<int>"), ("array<int>", "array<string>", "array<string>"), ("boolean", "int", "string"), ("long", "decimal(38,0)", "decimal(38,0)")])
+def test_wider(a, b, both):
+    assert xf.wider(a, b) == xf.wider(b, a) == both
+
+
 def test_json_map_keeps_null_as_text(spark):
     out = xf.json_to_map(log(spark, ['{"key":1,"a":"a","n":null,"l":[1, 2]}', None])).select("value").collect()
     assert out[0][0].payload == {"key": "1", "a": "a", "n": "null", "l": "[1,2]"} and out[1][0] is None
