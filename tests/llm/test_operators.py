@@ -2,6 +2,7 @@
 
 import hashlib
 import json
+import math
 import random
 import re
 import zlib
@@ -469,8 +470,8 @@ def test_scores_by_brute_force(spark):
 
 
 def test_family_wise_level():
-    assert toxicity.least_ratio(1) == pytest.approx(3.8415, abs=1e-3)  # the quantile of chi square with one degree of freedom
-    assert 27 < toxicity.least_ratio(240_000) < 32 < toxicity.least_ratio(10**8) < 45
+    for n in (1, 240_000, 10**8):  # the tail of chi square with one degree of freedom
+        assert n * math.erfc(math.sqrt(toxicity.least_ratio(n) / 2)) == pytest.approx(toxicity.LEVEL, rel=1e-6)
 
 
 def test_nearest_is_exact():
@@ -584,6 +585,8 @@ def test_plans_use_every_piece_once(case):
     patterns = packing.plan(counts)
     used = np.zeros(1025, int)
     bound = max(-(-int(lengths.sum()) // 1024), int((lengths > 512).sum()))
+    if case == 3:  # a long piece leaves room for one of 341 at most, other sequences hold three
+        bound = 100 + -(-(700 - int((lengths[700:] <= 683).sum())) // 3)
     assert sum(n for _, n in patterns) <= bound * 1.005 + 3
     for pattern, n in patterns:
         assert n > 0 and sum(pattern) <= 1024
