@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.times import millis
+
 
 def simple(value, mode: str = "array"):
     """(type, plain value) of one extended-JSON value; the type is None if the field is left out.
@@ -50,7 +52,7 @@ def simple(value, mode: str = "array"):
         if isinstance(when, str):
             from datetime import datetime
 
-            when = int(datetime.fromisoformat(when.replace("Z", "+00:00")).timestamp() * 1000)
+            when = millis(datetime.fromisoformat(when.replace("Z", "+00:00")))
         return "timestamp", when
     if tags == {"$timestamp"}:
         return "timestamp", value["$timestamp"]["t"] * 1000

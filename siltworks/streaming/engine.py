@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 from ..config import EngineConfig, split_list
 from ..functions import partition
 from ..functions.coerce import Options, project
+from ..functions.times import millis
 from ..operators import commits, mutate, route
 from ..operators.transforms import extract
 from ..plans import schema as schemas
@@ -115,7 +116,7 @@ class Engine:
     def _vtts(self, progress: dict) -> int | None:
         """The smallest last time over all assigned partitions; None if one of them has no record in this batch."""
         times = [progress.get(p, (None, None))[1] for p in {*self.assigned, *progress}]
-        return min(int(t.timestamp() * 1000) for t in times) if times and all(times) else None
+        return min(millis(t) for t in times) if times and all(times) else None
 
     def _known(self) -> None:
         """Partitions of earlier runs are assigned too."""
