@@ -24,7 +24,7 @@ from .components import components, spanning
 #: Rows of a block: a bucket with more is split.
 BLOCK = 1024
 #: Unrelated vectors of a label that are expected in one bucket, at most.
-STRANGERS = 256
+STRANGERS = 512
 
 
 def collision(distance: float, width: float) -> float:
@@ -36,11 +36,12 @@ def collision(distance: float, width: float) -> float:
 def tables_for(n: int, least: float, width: float = 2.0, miss: float = 1e-3) -> tuple[int, int]:
     """(tables, projections) for ``n`` vectors that may be linked.
 
-    Orthogonal vectors meet in a bucket with at most ``STRANGERS`` others, 9 projections at least; a pair with
-    the cosine ``least`` meets in no table with a chance of at most ``miss``.
+    Orthogonal vectors meet in a bucket with at most ``STRANGERS`` others; a pair with the cosine ``least`` meets
+    in no table with a chance of at most ``miss``.  Fewer projections need fewer tables: cosines within a bucket
+    cost less than a vector's way to another one.
     """
     near, far = collision(max(math.sqrt(2 - 2 * least), 1e-9), width), collision(math.sqrt(2), width)
-    bits = max(9, math.ceil(math.log(max(n, 1) / STRANGERS) / -math.log(far)))
+    bits = max(1, math.ceil(math.log(max(n, 1) / STRANGERS) / -math.log(far)))
     return max(1, math.ceil(math.log(miss) / math.log1p(-min(near**bits, 1 - 1e-12)))), bits
 
 
