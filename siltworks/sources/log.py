@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -36,6 +36,11 @@ def read_broker(spark: SparkSession, servers: str, topics: list[str], *, stream:
     return found.select("topic", "partition", "offset", "timestamp", F.col("key").cast("string").alias("key"), F.col("value").cast("string").alias("value"))
 
 
+def whole_millis(when: Column) -> Column:
+    """A time in whole milliseconds, as brokers count: the nearest, halves away from 1970, without floating point."""
+    return F.timestamp_micros(F.round(F.unix_micros(when), -3))
+
+
 def events_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The table ``events`` as a change log of four partitions; the key is the user, the operation follows the type."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet")
