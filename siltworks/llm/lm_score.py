@@ -35,6 +35,9 @@ from .common import Blocks, WordHasher, mix64, n_words, small_batches, word_hash
 #: Bytes of text of a block, and words of the corpus for each part of the key space.
 BLOCK = 1 << 23
 PART = 1 << 21
+#: Bytes of text of a block, and keys of a part, that are worked on at once: tasks hold little beside what they get and give.
+SLICE = 1 << 18
+STEP = 1 << 18
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 
@@ -43,23 +46,40 @@ def pair_keys(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix64(left * _PAIR + right)
 
 
-def _words(texts) -> tuple[np.ndarray, np.ndarray]:
-    """(key, row) of each word of a column of texts."""
-    hasher, keys, rows = WordHasher(), [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-    for first, _, data, at in Blocks(1 << 20)(texts):
+def _slices(texts):
+    """Words and pairs of a column of texts, for each ``SLICE`` bytes of whole texts.
+
+    Yields (first row, end row, places of the words that another one of their row follows, keys, their rows);
+    the words' keys come first, then those of the pairs that begin at these places; rows count from the first.
+    """
+    hasher = WordHasher()
+    for first, last, data, at in Blocks(SLICE)(texts):
         h, row = word_hashes(hasher, data, at)
-        keys.append(h)
-        rows.append(row + first)
-    return np.concatenate(keys), np.concatenate(rows)
+        before = np.flatnonzero(row[1:] == row[:-1])
+        yield first, last, before, np.concatenate((h, pair_keys(h[before], h[before + 1]))), np.concatenate((row, row[before]))
+
 
+def _counted(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ``items``, which are sorted in place, and how often each occurs."""
+    items.sort()
+    new = np.ones(len(items), bool)
+    new[1:] = items[1:] != items[:-1]
+    begin = np.flatnonzero(new)
+    return items[begin], np.diff(begin, append=len(items))
 
-def _planes(x: np.ndarray) -> bytes:
+
+def _planes(x: np.ndarray) -> np.ndarray:
     """Whole numbers byte by byte, the highest of all first: those of sorted keys and of counts repeat and so compress."""
-    return np.ascontiguousarray(x.astype(">u8").view(np.uint8).reshape(-1, 8).T).tobytes()
+    return x.astype(">u8").view(np.uint8).reshape(-1, 8).T
+
+
+def _matrix(planes) -> np.ndarray:
+    """A binary value's planes, not copied."""
+    return np.frombuffer(planes.as_buffer(), np.uint8).reshape(8, -1)
 
 
-def _whole(planes: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+def _whole(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.T).view(">u8").ravel().astype(np.uint64)
 
 
 def _ask(parts: int):
@@ -69,13 +89,16 @@ def _ask(parts: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        h, row = _words(docs["text"])
-        of_target = pc.is_in(docs["doc_id"], targets["doc_id"]).to_numpy()[row]
-        inner = row[1:] == row[:-1]
-        items = np.concatenate((h, pair_keys(h[:-1], h[1:])[inner]))
-        of_target = np.concatenate((of_target, of_target[1:][inner]))
-        keys, n = np.unique(items, return_counts=True)
-        some, m = np.unique(items[of_target], return_counts=True)
+        is_target = pc.is_in(docs["doc_id"], targets["doc_id"]).to_numpy()
+        items, of_target = [np.empty(0, np.uint64)], [np.empty(0, np.uint64)]
+        for first, _, _, own, of in _slices(docs["text"]):
+            items.append(own)
+            of_target.append(own[is_target[of + first]])
+        some, m = _counted(np.concatenate(of_target))
+        del of_target
+        items = np.concatenate(items)
+        keys, n = _counted(items)
+        del items
         t = np.zeros(len(keys), np.int64)
         t[np.searchsorted(keys, some)] = m
         part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
@@ -83,25 +106,36 @@ def _ask(parts: int):
         cut = [slice(a, b) for a, b in zip(begin, [*begin[1:], len(keys)])]
         block = pa.array(np.full(len(held), docs["block"][0].as_py() if len(held) else 0, np.int64))
         columns = [block, pa.array(held)]
-        columns += [pa.array([_planes(x[c]) for c in cut], pa.binary()) for x in (keys, n, t)]
+        columns += [pa.array([_planes(x[c]).tobytes() for c in cut], pa.binary()) for x in (keys, n, t)]
         return pa.Table.from_arrays(columns, names=["block", "part", "keys", "n", "t"])
 
     return run
 
 
 def _answer(asked):
-    """The corpus's counts for each block's keys in one part, in the order of the keys."""
+    """The corpus's counts for each block's keys in one part, in the order of the keys; about ``STEP`` keys are added up at once."""
     import pyarrow as pa
 
-    lists = [_whole(k.as_py()) for k in asked["keys"]]
-    ends = np.cumsum([len(k) for k in lists])[:-1]
-    lists = np.concatenate(lists)
-    _, at = np.unique(lists, return_inverse=True)
-    out = []
-    for name in ("n", "t"):
-        total = np.bincount(at, np.concatenate([_whole(x.as_py()) for x in asked[name]])).astype(np.int64)  # exact below 2**53
-        out.append(pa.array([_planes(x) for x in np.split(total[at], ends)], pa.binary()))
-    return pa.Table.from_arrays([asked["block"], asked["part"], *out], names=["block", "part", "n", "t"])
+    lists = [_whole(_matrix(k)) for k in asked["keys"]]
+    ends = 8 * np.cumsum([0, *map(len, lists)])
+    least, most = min(int(x[0]) for x in lists), max(int(x[-1]) for x in lists)
+    steps = max(1, math.ceil(ends[-1] / 8 / STEP))
+    edges = np.array([least + (most - least) * k // steps for k in range(1, steps)], np.uint64)
+    cuts = np.array([[0, *np.searchsorted(x, edges), len(x)] for x in lists])
+    told = [(asked[name], np.empty(ends[-1], np.uint8)) for name in ("n", "t")]
+    for a, b in zip(cuts.T, cuts.T[1:]):
+        rows = np.flatnonzero(a < b)
+        if not len(rows):
+            continue
+        _, at = np.unique(np.concatenate([lists[i][a[i] : b[i]] for i in rows]), return_inverse=True)
+        borders = np.cumsum((b - a)[rows])[:-1]
+        for said, out in told:
+            total = np.bincount(at, np.concatenate([_whole(_matrix(said[int(i)])[:, a[i] : b[i]]) for i in rows]))  # exact below 2**53
+            for i, x in zip(rows, np.split(total.astype(np.int64)[at], borders)):
+                out[ends[i] : ends[i + 1]].reshape(8, -1)[:, a[i] : b[i]] = _planes(x)
+    offsets = pa.py_buffer(ends.astype(np.int32))
+    columns = [pa.Array.from_buffers(pa.binary(), len(lists), [None, offsets, pa.py_buffer(out)]) for _, out in told]
+    return pa.Table.from_arrays([asked["block"], asked["part"], *columns], names=["block", "part", "n", "t"])
 
 
 def _score(schema, n_background: int, n_target: int, least: int, weight: float, prior: float, types: float):
@@ -111,36 +145,33 @@ def _score(schema, n_background: int, n_target: int, least: int, weight: float,
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        rows = len(docs)
-        answers, targets = told.filter(pc.is_valid(told["part"])), told.filter(pc.is_null(told["part"]))["target"]
-        h, row = _words(docs["text"])
-        size = np.bincount(row, minlength=rows)
-        of_target = pc.is_in(docs["doc_id"], targets).to_numpy(zero_copy_only=False).astype(bool)
-        means = [np.zeros(rows), np.zeros(rows)]
-        if len(h):
-            inner = np.concatenate(([False], row[1:] == row[:-1]))
-            pairs = pair_keys(h[:-1], h[1:])[inner[1:]]
-            _, at = np.unique(np.concatenate((h, pairs)), return_inverse=True)
-            of = np.concatenate((row, row[inner]))
+        is_answer = pc.is_valid(told["part"])
+        answers, targets = told.filter(is_answer), told["target"].filter(pc.invert(is_answer))
+        is_target = pc.is_in(docs["doc_id"], targets).to_numpy(zero_copy_only=False).astype(bool)
+        order = np.argsort(answers["part"].to_numpy())
+        corpus_n, corpus_t = (np.concatenate([np.empty(0), *(_whole(_matrix(answers[c][int(i)])) for i in order)]) for c in ("n", "t"))
+        keys, _ = _counted(np.concatenate([np.empty(0, np.uint64), *(_counted(s[3])[0] for s in _slices(docs["text"]))]))
+        size, means = np.zeros(len(docs), np.int64), np.zeros((2, len(docs)))
+        for first, last, before, items, of in _slices(docs["text"]):
+            rows, words = last - first, slice(0, len(items) - len(before))
+            row, own_size = of[words], np.bincount(of[words], minlength=rows)
+            size[first:last] = own_size
+            some, at = np.unique(items, return_inverse=True)
             # how often each document has each of its items itself
             _, same, own = np.unique(at * rows + of, return_inverse=True, return_counts=True)
             own = own[same]
-            del same
-            answers = answers.sort_by("part")
-            n, t = (np.concatenate([_whole(x.as_py()) for x in answers[c]]).astype(float)[at] for c in ("n", "t"))
-            n -= own
-            t -= own * of_target[of]
-            left, left_t = n_background - size[row], n_target - (size * of_target)[row]
-            words, before = slice(0, len(h)), np.flatnonzero(inner) - 1
+            place = np.searchsorted(keys, some)
+            n, t = corpus_n[place][at] - own, corpus_t[place][at] - own * is_target[first:last][of]
+            left, left_t = n_background - own_size[row], n_target - (own_size * is_target[first:last])[row]
             background = (n[words] + 0.5) / (left + types / 2)
             target = np.where(n[words] < least, background, (t[words] + prior * background) / (left_t + prior))
-            scale = np.minimum(1.0, left_t / np.maximum(left, 1)) if n_target else np.ones(len(h))
-            for k, (p, c, s) in enumerate(((target, t, np.ones(len(h))), (background, n, scale))):
-                s = s[inner]
-                p[inner] = (s * c[len(h) :] + weight * p[inner]) / (s * c[before] + weight)
-                means[k] = np.bincount(row, -np.log(p), rows) / np.maximum(size, 1)
+            scale = np.minimum(1.0, left_t / np.maximum(left, 1)) if n_target else np.ones(len(row))
+            for k, (p, c, s) in enumerate(((target, t, np.ones(len(row))), (background, n, scale))):
+                s = s[before + 1]
+                p[before + 1] = (s * c[len(row) :] + weight * p[before + 1]) / (s * c[before] + weight)
+                means[k, first:last] = np.bincount(row, -np.log(p), rows) / np.maximum(own_size, 1)
         figures = [pa.array(x, pa.float64(), mask=size == 0) for x in (*means, means[0] - means[1])]
-        return pa.Table.from_arrays([docs["doc_id"], pa.array(size.astype(np.int64)), *figures], names=schema)
+        return pa.Table.from_arrays([docs["doc_id"], pa.array(size), *figures], names=schema)
 
     return run
 

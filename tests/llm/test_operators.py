@@ -5,10 +5,13 @@ import json
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 from pyspark.sql import functions as F
 
@@ -349,6 +352,51 @@ def test_model_scores(spark, docs, empty, texts, monkeypatch, block, part):
     assert alone.count() == docs.count() and alone.where("score is null and n_words > 0").count() == 0
 
 
+def test_lm_memory(monkeypatch):
+    """A block and a part take little memory beside what they get and give, and slices and steps of any size give the same."""
+    rnd = np.random.default_rng(8)
+    texts = [" ".join(f"w{x:06x}" for x in rnd.integers(0, 1 << 17, n)) for n in rnd.integers(0, 1200, 800)]
+    docs = pa.table({"block": pa.array([3] * 800, pa.int64()), "doc_id": range(800), "text": texts})
+    good = docs.select(["doc_id"]).slice(0, 300)
+
+    def traced(f, *args):
+        tracemalloc.start()
+        try:
+            return f(*args), tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    def run():
+        asked = lm_score._ask(5)(docs, good)
+        told, of_part = zip(*(traced(lm_score._answer, pa.concat_tables([x.take([i]) for x in (asked, other, more)])) for i in range(5)))
+        told = pa.concat_tables(told)
+        told = pa.concat_tables([told.filter(pc.equal(told["block"], 3)), pa.table({"target": good["doc_id"]})], promote_options="default")
+        out, of_block = traced(lm_score._score(["doc_id", "n_words", "a", "b", "c"], 10**6, 10**5, 2, 10.0, 1000.0, 1e5), docs, told)
+        return asked, told, out, max(of_part), of_block
+
+    # other blocks that ask for the same keys, as often as they like
+    other = lm_score._ask(5)(docs.set_column(0, "block", pa.array([4] * 800, pa.int64())), good)
+    more = lm_score._ask(5)(docs.set_column(0, "block", pa.array([5] * 800, pa.int64())).slice(100, 500), good)
+    keys = max(len(k.as_py()) for k in other["keys"]) / 8 * 3
+    first = run()
+    assert first[4] < 16 * docs["text"].nbytes, f"{first[4] / docs['text'].nbytes} bytes a byte of text"
+    monkeypatch.setattr(lm_score, "STEP", 1 << 14)
+    assert (most := run()[3]) < 40 * keys, f"{most / keys} bytes a key of a part"
+    for slice_, step in ((1 << 12, 1 << 10), (1 << 26, 1 << 26)):
+        monkeypatch.setattr(lm_score, "SLICE", slice_)
+        monkeypatch.setattr(lm_score, "STEP", step)
+        assert all(x.equals(y) for x, y in zip(first[:3], run()[:3], strict=True))
+    counts = Counter(w for t in texts for w in words(t))
+    told, n = first[1].filter(pc.is_valid(first[1]["part"])).sort_by("part"), Counter()
+    for k, x in zip(first[0].sort_by("part")["keys"], told["n"], strict=True):
+        n.update(dict(zip(*(np.frombuffer(v.as_py(), np.uint8).reshape(8, -1).T.copy().view(">u8").ravel().tolist() for v in (k, x)), strict=True)))
+    hasher = common.WordHasher()
+    again = Counter(w for t in texts[100:600] for w in words(t))
+    for w in sorted(counts)[:500]:
+        h = common.word_hashes(hasher, np.frombuffer(w.encode(), np.uint8), np.array([0, len(w)]))[0]
+        assert n[int(h[0])] == 2 * counts[w] + again[w]
+
+
 def test_licenses(spark, docs, empty):
     mit = licenses.TEMPLATES["MIT-text"].split()
     cut = mit[:40] + ["oddly"] + mit[41:]
