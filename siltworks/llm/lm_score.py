@@ -68,18 +68,25 @@ def _counted(items: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return items[begin], np.diff(begin, append=len(items))
 
 
-def _planes(x: np.ndarray) -> np.ndarray:
+def _width(most: int) -> int:
+    """How many bytes hold the whole numbers up to ``most``."""
+    return max(1, (int(most).bit_length() + 7) // 8)
+
+
+def _planes(x: np.ndarray, width: int = 8) -> np.ndarray:
     """Whole numbers byte by byte, the highest of all first: those of sorted keys and of counts repeat and so compress."""
-    return x.astype(">u8").view(np.uint8).reshape(-1, 8).T
+    return x.astype(">u8").view(np.uint8).reshape(-1, 8).T[8 - width :]
 
 
-def _matrix(planes) -> np.ndarray:
+def _matrix(planes, width: int = 8) -> np.ndarray:
     """A binary value's planes, not copied."""
-    return np.frombuffer(planes.as_buffer(), np.uint8).reshape(8, -1)
+    return np.frombuffer(planes.as_buffer(), np.uint8).reshape(width, -1)
 
 
 def _whole(planes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(planes.T).view(">u8").ravel().astype(np.uint64)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, 8 - len(planes) :] = planes.T
+    return out.view(">u8").ravel().astype(np.uint64)
 
 
 def _ask(parts: int):
@@ -106,36 +113,42 @@ def _ask(parts: int):
         cut = [slice(a, b) for a, b in zip(begin, [*begin[1:], len(keys)])]
         block = pa.array(np.full(len(held), docs["block"][0].as_py() if len(held) else 0, np.int64))
         columns = [block, pa.array(held)]
-        columns += [pa.array([_planes(x[c]).tobytes() for c in cut], pa.binary()) for x in (keys, n, t)]
+        for x, width in ((keys, 8), (n, _width(n.max(initial=0))), (t, _width(t.max(initial=0)))):
+            columns.append(pa.array([_planes(x[c], width).tobytes() for c in cut], pa.binary()))
         return pa.Table.from_arrays(columns, names=["block", "part", "keys", "n", "t"])
 
     return run
 
 
-def _answer(asked):
+def _answer(width: int):
     """The corpus's counts for each block's keys in one part, in the order of the keys; about ``STEP`` keys are added up at once."""
-    import pyarrow as pa
-
-    lists = [_whole(_matrix(k)) for k in asked["keys"]]
-    ends = 8 * np.cumsum([0, *map(len, lists)])
-    least, most = min(int(x[0]) for x in lists), max(int(x[-1]) for x in lists)
-    steps = max(1, math.ceil(ends[-1] / 8 / STEP))
-    edges = np.array([least + (most - least) * k // steps for k in range(1, steps)], np.uint64)
-    cuts = np.array([[0, *np.searchsorted(x, edges), len(x)] for x in lists])
-    told = [(asked[name], np.empty(ends[-1], np.uint8)) for name in ("n", "t")]
-    for a, b in zip(cuts.T, cuts.T[1:]):
-        rows = np.flatnonzero(a < b)
-        if not len(rows):
-            continue
-        _, at = np.unique(np.concatenate([lists[i][a[i] : b[i]] for i in rows]), return_inverse=True)
-        borders = np.cumsum((b - a)[rows])[:-1]
-        for said, out in told:
-            total = np.bincount(at, np.concatenate([_whole(_matrix(said[int(i)])[:, a[i] : b[i]]) for i in rows]))  # exact below 2**53
-            for i, x in zip(rows, np.split(total.astype(np.int64)[at], borders)):
-                out[ends[i] : ends[i + 1]].reshape(8, -1)[:, a[i] : b[i]] = _planes(x)
-    offsets = pa.py_buffer(ends.astype(np.int32))
-    columns = [pa.Array.from_buffers(pa.binary(), len(lists), [None, offsets, pa.py_buffer(out)]) for _, out in told]
-    return pa.Table.from_arrays([asked["block"], asked["part"], *columns], names=["block", "part", "n", "t"])
+
+    def run(asked):
+        import pyarrow as pa
+
+        keys = [_matrix(k) for k in asked["keys"]]
+        size = np.array([k.shape[1] for k in keys])
+        ends = width * np.cumsum([0, *size])
+        least, most = (f(int(_whole(k[:, [at]])[0]) for k in keys) for f, at in ((min, 0), (max, -1)))
+        steps = max(1, math.ceil(size.sum() / STEP))
+        edges = np.array([least + (most - least) * k // steps for k in range(1, steps)], np.uint64)
+        cuts = np.array([[0, *np.searchsorted(_whole(k), edges), k.shape[1]] for k in keys])
+        told = [([_matrix(x, len(x.as_buffer()) // n) for x, n in zip(asked[name], size)], np.empty(ends[-1], np.uint8)) for name in ("n", "t")]
+        for a, b in zip(cuts.T, cuts.T[1:]):
+            rows = np.flatnonzero(a < b)
+            if not len(rows):
+                continue
+            _, at = np.unique(np.concatenate([_whole(keys[i][:, a[i] : b[i]]) for i in rows]), return_inverse=True)
+            borders = np.cumsum((b - a)[rows])[:-1]
+            for said, out in told:
+                total = np.bincount(at, np.concatenate([_whole(said[i][:, a[i] : b[i]]) for i in rows]))  # exact below 2**53
+                for i, x in zip(rows, np.split(total.astype(np.int64)[at], borders)):
+                    out[ends[i] : ends[i + 1]].reshape(width, -1)[:, a[i] : b[i]] = _planes(x, width)
+        offsets = pa.py_buffer(ends.astype(np.int32))
+        columns = [pa.Array.from_buffers(pa.binary(), len(keys), [None, offsets, pa.py_buffer(out)]) for _, out in told]
+        return pa.Table.from_arrays([asked["block"], asked["part"], *columns], names=["block", "part", "n", "t"])
+
+    return run
 
 
 def _score(schema, n_background: int, n_target: int, least: int, weight: float, prior: float, types: float):
@@ -149,7 +162,7 @@ def _score(schema, n_background: int, n_target: int, least: int, weight: float,
         answers, targets = told.filter(is_answer), told["target"].filter(pc.invert(is_answer))
         is_target = pc.is_in(docs["doc_id"], targets).to_numpy(zero_copy_only=False).astype(bool)
         order = np.argsort(answers["part"].to_numpy())
-        corpus_n, corpus_t = (np.concatenate([np.empty(0), *(_whole(_matrix(answers[c][int(i)])) for i in order)]) for c in ("n", "t"))
+        corpus_n, corpus_t = (np.concatenate([np.empty(0), *(_whole(_matrix(answers[c][int(i)], _width(n_background))) for i in order)]) for c in ("n", "t"))
         keys, _ = _counted(np.concatenate([np.empty(0, np.uint64), *(_counted(s[3])[0] for s in _slices(docs["text"]))]))
         size, means = np.zeros(len(docs), np.int64), np.zeros((2, len(docs)))
         for first, last, before, items, of in _slices(docs["text"]):
@@ -203,7 +216,7 @@ def cross_entropy_difference(
     known = ids.select(block, F.col("doc_id").alias("target"))
     ids = dealt(ids, F.col("doc_id").cast("string"))
     asked = rows.cogroup(ids).applyInArrow(_ask(parts), "block bigint, part bigint, keys binary, n binary, t binary")
-    answers = asked.groupBy("part").applyInArrow(_answer, "block bigint, part bigint, n binary, t binary")
+    answers = asked.groupBy("part").applyInArrow(_answer(_width(n_background)), "block bigint, part bigint, n binary, t binary")
     names = ["doc_id", "n_words", "ce_target", "ce_background", "score"]
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, n_words bigint, ce_target double, ce_background double, score double"
     score = _score(names, n_background, n_target, least, weight, prior, types)
